@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding
+from . import exact_dedup, packing, sharding, token_files
 from .common import read
 
 
@@ -12,12 +12,22 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(read(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.run(read(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
 
 def all_queries() -> dict:
     return {
+        "op2_packing": op2_packing,
         "op4_exact_dedup": op4_exact_dedup,
+        "op9_token_files": op9_token_files,
         "op10_sharding": op10_sharding,
     }
