@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, sharding, token_files
+from . import exact_dedup, packing, quality, sharding, simhash, substring_dedup, token_files
 from .common import read
 
 
@@ -16,6 +16,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.run(read(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.assign(read(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.measure(read(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measure(read(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"))
 
@@ -27,7 +39,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict:
     return {
         "op2_packing": op2_packing,
+        "op3_simhash": op3_simhash,
         "op4_exact_dedup": op4_exact_dedup,
+        "op6_substring_dedup": op6_substring_dedup,
+        "op7_quality": op7_quality,
         "op9_token_files": op9_token_files,
         "op10_sharding": op10_sharding,
     }
