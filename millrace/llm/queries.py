@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, quality, sharding, simhash, substring_dedup, token_files
+from . import exact_dedup, licenses, packing, quality, sentencepiece_codec, sharding, simhash, substring_dedup, token_files, warc
 from .common import read
 
 
@@ -12,6 +12,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(read(spark, sf_dir, "documents"))
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.run(read(spark, sf_dir, "documents"))
 
@@ -20,6 +24,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.assign(read(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.measure(read(spark, sf_dir, "documents"))
 
@@ -28,6 +36,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(read(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"))
 
@@ -38,11 +50,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict:
     return {
+        "op1_sentencepiece": op1_sentencepiece,
         "op2_packing": op2_packing,
         "op3_simhash": op3_simhash,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_warc": op5_warc,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_quality": op7_quality,
+        "op8_licenses": op8_licenses,
         "op9_token_files": op9_token_files,
         "op10_sharding": op10_sharding,
     }

@@ -12,6 +12,34 @@ SELECT doc_id,
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha256(h) AS d, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM q
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+    SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13
+), win AS (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS first FROM starts
+), gone AS (
+    SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS p FROM win WHERE first < doc_id
+), lists AS (
+    SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+), kept AS (
+    SELECT d.doc_id, len(w) AS n, coalesce(len(ps), 0) AS r,
+           CASE WHEN ps IS NULL THEN w ELSE [w[k] FOR k IN range(1, len(w) + 1) IF NOT list_contains(ps, k)] END AS k
+    FROM d LEFT JOIN lists USING (doc_id)
+)
+SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": EXACT_DEDUP}
+    return {"op4_exact_dedup": EXACT_DEDUP, "op5_warc": WARC, "op6_substring_dedup": SUBSTRING_DEDUP}
