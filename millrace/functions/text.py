@@ -50,7 +50,7 @@ def signal(text: Column, term: str) -> Column:
 
 
 def split_list(text: Column, mark: str = ";") -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), mark), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), mark), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def distinct_folded(items: Column) -> Column:

@@ -14,7 +14,7 @@ def parse_iso(text: Column) -> Column:
 def age_days(as_of: Column, *times: Column) -> Column:
     """Whole days from the first known time to as_of, not negative."""
     seconds = F.timestamp_diff("SECOND", F.coalesce(*times), as_of)
-    return F.floor(F.greatest(seconds, F.lit(0)) / 86400).cast("int")
+    return F.when(seconds.isNotNull(), F.floor(F.greatest(seconds, F.lit(0)) / 86400).cast("int"))
 
 
 def freshness_band(age: Column) -> Column:

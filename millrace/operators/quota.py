@@ -49,5 +49,5 @@ def greedy(candidates: DataFrame, quotas: DataFrame, stratum: str, company: str,
 
     schema = ", ".join(f"{n} {t}" for n, t in candidates.dtypes) + ", taken_rank int"
     names = list(candidates.columns)
-    few = few.select(*names, "_in_company", "_place", "quota")
-    return few.groupBy(F.lit(1)).applyInPandas(lambda rows: take(rows)[[*names, "taken_rank"]], schema)
+    few = few.select(*names, "_in_company", "_place", "quota", F.lit(0).alias("_all"))
+    return few.groupBy("_all").applyInPandas(lambda rows: take(rows)[[*names, "taken_rank"]], schema)
