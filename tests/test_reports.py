@@ -56,3 +56,34 @@ def test_freshness_boundary(spark):
     frame = spark.createDataFrame(runs, "source_id int, status string, sync_mode string, started_at timestamp, completed_at timestamp")
     got = {r.provider: (r.code, r.running_sync_count) for r in metrics.source_freshness(sources, frame, "2024-01-03").collect()}
     assert got == {"a": (None, 0), "b": ("provider_successful_complete_sync_stale", 0), "c": ("provider_no_successful_complete_sync", 1)}
+
+
+def test_opportunity_scores(spark):
+    from millrace.operators import scoring
+
+    new, old = datetime(2024, 1, 20), datetime(2023, 1, 1)
+    rows = [
+        ("managed", 1, True, "strong", "global_explicit", "u", new, None),
+        ("managed", 2, True, "exclude", "onsite_explicit", "u", new, None),
+        ("observed", 1, False, "strong", "pakistan_explicit", "u", new, None),
+        ("observed", 1, False, "possible", "remote_unclear", "", old, None),
+        ("observed", 2, False, "possible", "remote_unclear", "u", old, new),
+        ("none", 1, True, "weak", None, "u", new, None),
+        ("weak", 1, False, "weak", None, "u", new, None),
+    ]
+    jobs = spark.createDataFrame(rows, "company_id string, cluster int, managed boolean, role_match_status string, remote_eligibility string, job_url string, source_at timestamp, observed_at timestamp")
+    scores = scoring.opportunity_scores(jobs, "2024-01-31")
+    got = {r.company_id: (r.opportunity_score, r.best_remote_eligibility, r.role_match_status) for r in scores.collect()}
+    assert got["managed"] == (70 + 2 + 8 + 28, "global_explicit", "strong")
+    assert got["observed"] == (64, "pakistan_explicit", "strong")  # 36 + 18 + 6 + 4 + 4, capped
+    assert got["none"][0] == -12 and got["weak"][0] == 0
+    companies = spark.createDataFrame([("managed", "m", 5), ("none", "n", 3), ("x", "x", 3)], "company_id string, slug string, company_fit_score int")
+    assert [(r.slug, r.fit_score, r.rank) for r in scoring.rank_companies(companies, scores).orderBy("rank").collect()] == [("m", 113, 1), ("x", 3, 2), ("n", 0, 3)]
+
+
+def test_prototype_score(spark):
+    from millrace.operators import scoring
+
+    rows = [("Active", True, "w", None, None, ["Remote", "India"], "ai agent"), ("Inactive", None, "", True, 30, None, "")]
+    frame = spark.createDataFrame(rows, "status string, is_hiring boolean, website string, top_company boolean, team_size int, regions array<string>, blob string")
+    assert [r[0] for r in frame.select(scoring.prototype_score(F.col("blob"))).collect()] == [5 + 3 + 1 + 1 + 6 + 3 + 3 + 3 + 2, 0]
