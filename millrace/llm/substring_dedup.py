@@ -32,12 +32,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 #: Rows that a task holds to combine them.
-HELD = 1_000_000
+HELD = 500_000
 LAST = (1 << 63) - 1
 
 
@@ -89,6 +91,12 @@ def _prepare(batches):
         yield _arrays(out)
 
 
+def _digests(batches):
+    for batch in batches:
+        shas = [hashlib.sha256(b" ".join((x or b"").split())).digest() for x in batch.column("text").to_pylist()]
+        yield _arrays({"ord": batch.column("ord"), "sha": pa.array(shas, pa.binary())})
+
+
 def _words(body: bytes) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(body).split()
 
@@ -120,7 +128,9 @@ def _anchor_rows(batches):
 
     held, n = [], 0
     for batch in batches:
-        for o, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for o, words, body in zip(batch.column("ord").to_pylist(), batch.column("n_words").to_pylist(), batch.column("body").to_pylist()):
+            if words < WINDOW:
+                continue
             hashes = np.unique(anchors(_words(body))[1])
             if len(hashes):
                 held.append((o, hashes))
@@ -132,30 +142,46 @@ def _anchor_rows(batches):
         yield from send(held)
 
 
+def _window_batch(k, k2, ords, p, more) -> pa.RecordBatch:
+    n = len(k)
+    return _arrays(
+        {
+            "k": pa.array(k),
+            "k2": pa.nulls(n, pa.int32()) if k2 is None else pa.array(k2, pa.int32()),
+            "ord": pa.array(ords),
+            "p": pa.nulls(n, pa.int32()) if p is None else pa.array(p, pa.int32()),
+            "more": pa.nulls(n, pa.binary()) if more is None else pa.array(more, pa.binary()),
+        }
+    )
+
+
 def _window_rows(batches):
-    """k, k2, ord, tag, known, at: a window of one text at the places ``at``; with ``known``, places whose windows are covered for certain."""
+    """k, k2, ord, p, more: a window of one text, at its place p; or, where it has several or the tag is not 0, with ``more``: tag and places as 32-bit numbers. With null k2, places whose windows are covered for certain."""
 
     def send(held):
         ords, tags = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int32)
         owner = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
         at, k, k2 = (np.concatenate([h[j] for h in held]) for j in (2, 3, 4))
         order = np.lexsort((at, owner, ords[owner], k2, k))
-        owner, at, k, k2 = owner[order], at[order], k[order], k2[order]
+        owner, at, k, k2 = owner[order], at[order].astype("<i4"), k[order], k2[order]
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (k2[1:] != k2[:-1])])
         least = ords[owner][np.flatnonzero(new)][np.cumsum(new) - 1]  # sorted by ord within a window
-        ask = ords[owner] == least
-        a = np.flatnonzero(ask)
-        head = np.concatenate([[True], new[a][1:] | (owner[a][1:] != owner[a][:-1])]) if len(a) else np.zeros(0, bool)
-        heads = a[head]
-        places = [x.tobytes() for x in np.split(at[a].astype("<i4"), np.flatnonzero(head)[1:])]
-        yield _arrays({"k": pa.array(k[heads]), "k2": pa.array(k2[heads]), "ord": pa.array(ords[owner[heads]]), "tag": pa.array(tags[owner[heads]]), "known": pa.array(np.zeros(len(heads), bool)), "at": pa.array(places, pa.binary())})
-        rest = np.flatnonzero(~ask)
+        ask = np.flatnonzero(ords[owner] == least)
+        head = np.concatenate([[True], new[ask][1:] | (owner[ask][1:] != owner[ask][:-1])])
+        heads, count = ask[head], np.diff(np.append(np.flatnonzero(head), len(ask)))
+        plain = (count == 1) & (tags[owner[heads]] == 0)
+        one, other = heads[plain], heads[~plain]
+        yield _window_batch(k[one], k2[one], ords[owner[one]], at[one], None)
+        if len(other):
+            places = [at[a : a + n] for a, n in zip(other.tolist(), count[~plain].tolist())]  # a window's places in a text are neighbours
+            yield _window_batch(k[other], k2[other], ords[owner[other]], None, [tags[owner[a]].tobytes() + x.tobytes() for a, x in zip(other.tolist(), places)])
+        rest = np.setdiff1d(np.arange(len(at)), ask, assume_unique=True)
         if len(rest):
             rest = rest[np.argsort(owner[rest], kind="stable")]
             texts, first = np.unique(owner[rest], return_index=True)
-            places = [x.tobytes() for x in np.split(at[rest].astype("<i4"), first[1:])]
-            spread = [xxhash.xxh64_intdigest(x) >> 1 for x in places]
-            yield _arrays({"k": pa.array(spread, pa.int64()), "k2": pa.array(np.zeros(len(texts), np.int32)), "ord": pa.array(ords[texts]), "tag": pa.array(tags[texts]), "known": pa.array(np.ones(len(texts), bool)), "at": pa.array(places, pa.binary())})
+            more = [tags[t].tobytes() + x.tobytes() for t, x in zip(texts.tolist(), np.split(at[rest], first[1:]))]
+            spread = np.array([xxhash.xxh64_intdigest(x) >> 1 for x in more], np.int64)
+            yield _window_batch(spread, None, ords[texts], None, more)
 
     held, n = [], 0
     for batch in batches:
@@ -177,13 +203,14 @@ def _finish(batches):
     decompressor = zstandard.ZstdDecompressor()
     for batch in batches:
         removed, shas, texts = [], [], []
-        columns = [batch.column(c).to_pylist() for c in ("n_words", "sha", "body", "copy", "at")]
-        for n, sha, body, copy, at in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in ("n_words", "sha", "body", "copy", "tag", "ps", "more")]
+        for n, sha, body, copy, tag, ps, more in zip(*columns):
             mark = np.zeros(n + 1, np.int64)
             if copy and n >= WINDOW:
                 mark[0] = 1
-            elif at:
-                begin = np.unique(np.frombuffer(b"".join(at), "<i4"))
+            elif ps or more:
+                lists = [x[1:] for x in (np.frombuffer(m, "<i4") for m in more) if x[0] == tag]
+                begin = np.unique(np.concatenate([np.array(ps if tag == 0 else [], np.int64), *lists])).astype(np.int64)
                 np.add.at(mark, begin, 1)
                 np.add.at(mark, begin + WINDOW, -1)
             gone = np.cumsum(mark)[:n] > 0
@@ -216,29 +243,31 @@ def _run(docs: DataFrame, whole: bool) -> DataFrame:
         row = f"_row {docs.select(others).schema[0].dataType.simpleString()}, "
     base = docs.select(*columns).mapInArrow(_prepare, f"{row}doc_id long, ord long, n_words long, sha binary, body binary")
 
-    versions = base.select("ord", "sha").distinct()
+    versions = cut(docs.select(order, F.col("text").cast("binary").alias("text")).mapInArrow(_digests, "ord long, sha binary").distinct(), "digests")
     versions = versions.join(versions.groupBy("sha").agg(F.min("ord").alias("least")), "sha")
     versions = versions.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("sha", "least"))).alias("versions"))  # the texts under one doc_id: one, as a rule
     texts = base.join(versions, "ord")
-    texts = texts.withColumn("tag", (F.array_position(F.transform("versions", lambda v: v["sha"]), F.col("sha")) - 1).cast("int"))
+    sha = F.coalesce("sha", F.lit(b""))  # never null; else a test for null is pushed below two of the three exchanges of ``texts``, and they differ
+    texts = texts.withColumn("tag", (F.array_position(F.transform("versions", lambda v: v["sha"]), sha) - 1).cast("int"))
     texts = texts.withColumn("copy", F.col("versions")[F.col("tag")]["least"] < F.col("ord")).drop("versions")
 
-    sent = texts.where(~F.col("copy") & (F.col("n_words") >= WINDOW)).select("ord", "body").mapInArrow(_anchor_rows, "k long, ord long, many binary")
+    # All three uses of the texts take all their columns and leave no filter to push below, so that they are the same exchange to Spark, which then makes it once.
+    own = [*(["_row"] if whole else []), "doc_id", "ord", "n_words", "sha", "body"]
+    sent = texts.where(~F.col("copy")).select(*own).mapInArrow(_anchor_rows, "k long, ord long, many binary")
     by_anchor = Window.partitionBy("k")
     sent = sent.withColumn("n", F.sum(F.when(F.col("many").isNull(), F.when(F.col("ord").isNull(), 2).otherwise(1)).otherwise(0)).over(by_anchor))
     shared = sent.where("ord IS NOT NULL AND (many IS NOT NULL OR n > 1)")
     shared = shared.groupBy("ord").agg(F.collect_list(F.when(F.col("many").isNull(), F.col("k"))).alias("ks"), F.collect_list("many").alias("many"))
 
-    found = texts.where(~F.col("copy") & (F.col("n_words") >= WINDOW)).join(shared, "ord").select("ord", "tag", "body", "ks", "many")
-    found = found.mapInArrow(_window_rows, "k long, k2 int, ord long, tag int, known boolean, at binary")
-    least = F.min(F.when(~F.col("known"), F.col("ord"))).over(Window.partitionBy("k", "k2"))
-    covered = found.withColumn("least", least).where("known OR ord > least")
-    covered = covered.groupBy("ord").agg(F.collect_list(F.struct("tag", "at")).alias("covered"))
+    found = texts.where(~F.col("copy")).join(shared, "ord").select(*own, "tag", "ks", "many")
+    found = found.mapInArrow(_window_rows, "k long, k2 int, ord long, p int, more binary")
+    least = F.min(F.when(F.col("k2").isNotNull(), F.col("ord"))).over(Window.partitionBy("k", "k2"))
+    covered = found.withColumn("least", least).where("k2 IS NULL OR ord > least")
+    # Narrow rows travel; a text's lists are made where they arrive.
+    covered = covered.select("ord", "p", "more").repartition("ord").groupBy("ord").agg(F.collect_list("p").alias("ps"), F.collect_list("more").alias("more"))
 
     done = texts.join(covered, "ord", "left")
-    own = F.transform(F.filter("covered", lambda c: c["tag"] == F.col("tag")), lambda c: c["at"]).alias("at")
-    keep = [*(["_row"] if whole else []), "doc_id", "n_words", "sha", "body", "copy", own]
-    done = done.select(*keep, *([F.lit("").alias("text")] if whole else []))
+    done = done.select(*own, "copy", "tag", "ps", "more", *([F.lit("").alias("text")] if whole else []))
     return done.mapInArrow(_finish, f"{row}doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * whole)
 
 

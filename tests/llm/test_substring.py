@@ -67,7 +67,7 @@ def test_combining_by_batches(monkeypatch, held):
     monkeypatch.setattr(substring_dedup, "HELD", held)
     rows = [r for r in made(9, 40) if r[0] is not None]
     compress = zstandard.ZstdCompressor().compress
-    batch = pa.RecordBatch.from_pydict({"ord": [d for d, _ in rows], "body": [compress(t.encode()) for _, t in rows]})
+    batch = pa.RecordBatch.from_pydict({"ord": [d for d, _ in rows], "n_words": [len(t.split()) for _, t in rows], "body": [compress(t.encode()) for _, t in rows]})
     alone, known, many = {}, set(), {}
     for out in substring_dedup._anchor_rows(iter([batch])):
         for k, o, m in zip(*(out.column(j).to_pylist() for j in range(3))):
