@@ -61,10 +61,12 @@ def walk_bound(spark: SparkSession, n: int, seed: int = SEED) -> int:
     a, b = halves(n)
     if a * b == n:
         return 0
-    beyond, passes = spark.range(n, a * b).select(F.col("id").alias("x")), 0
-    while not beyond.where(F.col("x") >= n).isEmpty():
+    beyond = spark.range(n, a * b).select(F.col("id").alias("begun"), F.col("id").alias("x"))
+    passes = 0
+    while not beyond.isEmpty():
         passes += 1
-        beyond = beyond.where(F.col("x") >= n).select(feistel(F.col("x"), a, b, seed).alias("x"))
+        # A cycle of numbers beyond n only is back where it began; no number below n leads into it.
+        beyond = cut(beyond.select("begun", feistel(F.col("x"), a, b, seed).alias("x")), "walks").where(F.col("x") >= n).where("x <> begun")
     return passes
 
 
