@@ -27,7 +27,7 @@ def test_stages(spark, sf):
         kept[name] = docs.collect()
     ids = {n: {r.doc_id for r in rows} for n, rows in kept.items()}
     for r in before:
-        if len(r.text) < 5000:
+        if len(r.text) < 2000:
             n, _, _, _, repeats = slow_quality(r.text)
             assert r.doc_id not in ids["quality_rules"] or not (n < 10 or 100 * repeats > 20 * n)
     last = {}
