@@ -24,20 +24,20 @@ FROM q
 SUBSTRING_DEDUP = r"""
 WITH d AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-), starts AS (
-    SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), runs AS (
+    SELECT doc_id, p AS i, string_agg(word, ' ') OVER t AS run, count(*) OVER t AS n
+    FROM words WINDOW t AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
 ), win AS (
-    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS first FROM starts
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY run) AS first FROM runs WHERE n = 13
 ), gone AS (
     SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS p FROM win WHERE first < doc_id
-), lists AS (
-    SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
 ), kept AS (
-    SELECT d.doc_id, len(w) AS n, coalesce(len(ps), 0) AS r,
-           CASE WHEN ps IS NULL THEN w ELSE [w[k] FOR k IN range(1, len(w) + 1) IF NOT list_contains(ps, k)] END AS k
-    FROM d LEFT JOIN lists USING (doc_id)
+    SELECT words.doc_id, count(*) AS n, count(gone.p) AS r, string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS k
+    FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id
 )
-SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(r, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
 
