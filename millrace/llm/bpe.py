@@ -85,14 +85,15 @@ class Encoder:
         return self.memo[key]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo_parts: int = MEMO_PARTS) -> Encoder:
+    """One for each Python worker, file and bound; a part of the memo takes about 250 bytes."""
+    if (path, memo_parts) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, memo_parts] = Encoder(path, memo_parts)
+    return _ENCODERS[path, memo_parts]
 
 
 #: The id that ends each document, as bytes.

@@ -36,12 +36,12 @@ CAPACITY = 2048
 PIECES_A_BUCKET = 1_000_000
 
 
-def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit): the tokenised documents, each with the end id, cut to the capacity."""
     tokenizer_path = tokenizer_path or bpe.default_path()
 
     def cut_up(batches):
-        encoder = bpe.encoder(tokenizer_path)
+        encoder = bpe.encoder(tokenizer_path, memo_parts)
         for batch in batches:
             out, size = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -174,9 +174,9 @@ def pack(slim: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.mapInArrow(place, schema)
 
 
-def run(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def run(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    made = pieces(docs, tokenizer_path, capacity)
+    made = pieces(docs, tokenizer_path, capacity, memo_parts)
     return pack(cut(made.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces"), capacity)
 
 
