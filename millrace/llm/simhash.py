@@ -170,7 +170,8 @@ def assign(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataF
     joined = nodes.join(own, F.col("node") == F.col("fp"))
     smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"))
     found = nodes.join(smallest, "label").select(F.col("node").alias("fp"), "component_id")
-    by_fp = own.join(found, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    # Written, so that the last join shuffles both its sides and adaptive execution can split a fingerprint that very many documents share.
+    by_fp = cut(own.join(found, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "components")
     return made.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
