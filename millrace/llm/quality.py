@@ -4,7 +4,11 @@ Base counts are exact counts over the whole text. A text that passes the base ru
 zstandard, whole and in fixed chunks; compressed size / size must lie in a band that depends on the length,
 since short texts compress badly whatever they say. Below the band a text repeats itself; above
 it, it is noise (such as encoded binary data). A text is rejected when its whole ratio, or over
-``CHUNK_SHARE`` of its chunks, lies outside.
+``CHUNK_SHARE`` of its chunks, lies outside. Texts below ``CHUNK`` bytes are their own only chunk.
+
+The upper limits lie 0.01 to 0.02 below the least ratio of base64 (six bits a byte: about 0.74, and more for shorter texts because of
+frame and table) at the band's far end, in lines or in words down to eight characters; labelled good documents lie below them. Under 128 bytes
+noise and prose are both stored raw, so no limit parts them, nor does one part encodings of four bits a byte (hex) from prose.
 
 Defined results: null text has no words and fails the base rules. Repeated rows and doc_ids are judged one by one.
 An empty table gives an empty result.
@@ -26,10 +30,21 @@ from .common import SPACES
 BANDS = (
     (0, 0.00, 99.0, 0.00, 99.0),
     (64, 0.40, 1.25, 0.40, 1.25),
-    (256, 0.35, 0.95, 0.35, 0.95),
-    (1024, 0.30, 0.78, 0.30, 0.78),
-    (4096, 0.25, 0.72, 0.25, 0.76),
-    (65536, 0.18, 0.72, 0.25, 0.76),
+    (128, 0.40, 0.945, 0.40, 0.945),
+    (160, 0.40, 0.92, 0.40, 0.92),
+    (192, 0.40, 0.895, 0.40, 0.895),
+    (224, 0.40, 0.875, 0.40, 0.875),
+    (256, 0.35, 0.865, 0.35, 0.865),
+    (320, 0.35, 0.84, 0.35, 0.84),
+    (384, 0.35, 0.81, 0.35, 0.81),
+    (512, 0.35, 0.79, 0.35, 0.79),
+    (640, 0.35, 0.775, 0.35, 0.775),
+    (768, 0.35, 0.76, 0.35, 0.76),
+    (1024, 0.30, 0.745, 0.30, 0.745),
+    (1536, 0.30, 0.735, 0.30, 0.735),
+    (2560, 0.30, 0.725, 0.30, 0.725),
+    (4096, 0.25, 0.72, 0.25, 0.72),
+    (65536, 0.18, 0.72, 0.25, 0.72),
 )
 LEVEL = 3
 CHUNK = 4096

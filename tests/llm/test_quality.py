@@ -60,6 +60,25 @@ def test_bands():
     assert not quality.verdict(plain + b"x" * 20000, c)[0]  # half of its chunks say nothing
 
 
+@pytest.mark.parametrize("size", sorted({n for b in quality.BANDS if b[0] >= 128 for n in (b[0], b[0] * 5 // 4)} | {b[0] - 1 for b in quality.BANDS if b[0] > 128}))
+def test_noise_in_every_band(size):
+    rng, c = random.Random(size), zstandard.ZstdCompressor(level=3)
+    for width, gap in ((size, ""), (76, "\n"), (20, " "), (8, " ")):
+        for _ in range(20):
+            code = base64.b64encode(rng.randbytes(size)).decode()
+            noise = gap.join(code[k : k + width] for k in range(0, size, width)).encode()[:size]
+            assert not quality.verdict(noise, c)[0], (width, quality.verdict(noise, c))
+
+
+def test_noise_in_a_third_of_the_chunks():
+    rng, c = random.Random(3), zstandard.ZstdCompressor(level=3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    plain = " ".join(rng.choices(words, k=9000)).encode()[: 8 * quality.CHUNK]
+    code = base64.b64encode(rng.randbytes(4 * quality.CHUNK)).decode()
+    noise = " ".join(code[k : k + 8] for k in range(0, len(code), 8)).encode()[: 4 * quality.CHUNK]
+    assert quality.verdict(plain, c)[0] and not quality.verdict(plain + noise, c)[0]
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "k"), (1, None, "k"), (None, "few words", "k"), (2, "word " * 200000, "k"), (3, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
