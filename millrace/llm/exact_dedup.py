@@ -15,8 +15,8 @@ contents, documents are joined by digest and content instead.
 Defined results: null text counts as empty. The row with the largest doc_id stays; a null
 doc_id is smaller than every other, and a group with null doc_ids only has a null keep_id.
 Rows that repeat a doc_id within a group are all marked kept if that doc_id is the group's
-largest. An empty table gives an empty result. Other columns are ignored by ``assign`` and
-carried by ``keep``.
+largest, and ``keep`` leaves them all; ``keep_one`` leaves one row of each group, groups of null doc_ids too. An empty table gives an
+empty result. Other columns are ignored by ``assign`` and carried by ``keep`` and ``keep_one``.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, cut
+from .common import LOWER, UPPER, cut, row_hash
 
 SALTS = 16
 
@@ -72,3 +72,14 @@ def assign(docs: DataFrame, digest=sha256, salts: int = SALTS) -> DataFrame:
 def keep(docs: DataFrame, digest=sha256, salts: int = SALTS) -> DataFrame:
     """The documents that stay, with all their columns."""
     return _found(docs, digest, salts).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("_row.*")
+
+
+def keep_one(docs: DataFrame, digest=sha256, salts: int = SALTS) -> DataFrame:
+    """One row of each group, with all its columns: that with the largest doc_id, of those the one with the least hash over its columns.
+
+    Only groups with more than one row can have ties; they are merged by digest and content, in each task before anything moves.
+    """
+    stay = _found(docs, digest, salts).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    alone = stay.where("group_size = 1").select("_row.*")
+    rows = stay.where("group_size > 1").groupBy("digest", normalised("_row.text").alias("content"))
+    return alone.union(rows.agg(F.min_by("_row", row_hash(docs, "_row.")).alias("_row")).select("_row.*"))

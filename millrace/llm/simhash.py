@@ -15,7 +15,7 @@ fingerprints share one, and each is linked to the smallest of them. So no link i
 
 Defined results: a text without words (null, empty) has fingerprint zero and is linked like any other;
 with fewer words than a shingle the whole sequence is the only shingle. Component ids are the smallest non-null doc_id; a component with
-null doc_ids only has a null id. Repeated rows link like copies. An empty table gives an empty result.
+null doc_ids only has a null id. Repeated rows link like copies. ``keep`` leaves one row of each component, whatever its doc_ids. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import LOWER_TABLE, cut
+from .common import LOWER_TABLE, cut, row_hash
 from .components import components
 
 SHINGLE = 3
@@ -162,20 +163,52 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return pairs.union(spread.where("fp <> v").select(F.col("fp").alias("u"), "v")).distinct()
 
 
-def assign(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """doc_id, fingerprint, component_id: a row for each document."""
+def _found(docs: DataFrame, shingle: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, fp of each document; fp, label (the component's smallest fingerprint), component_id of each fingerprint."""
     made = cut(fingerprints(docs, shingle), "fingerprints")
     own = cut(made.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     nodes = components(links(own, crowd))
     joined = nodes.join(own, F.col("node") == F.col("fp"))
     smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"))
-    found = nodes.join(smallest, "label").select(F.col("node").alias("fp"), "component_id")
+    found = nodes.join(smallest, "label").select(F.col("node").alias("fp"), "label", "component_id")
+    return made, own.join(found, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), F.coalesce("component_id", "first").alias("component_id"))
+
+
+def assign(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
+    """doc_id, fingerprint, component_id: a row for each document."""
+    made, found = _found(docs, shingle, crowd)
     # Written, so that the last join shuffles both its sides and adaptive execution can split a fingerprint that very many documents share.
-    by_fp = cut(own.join(found, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "components")
+    by_fp = cut(found.select("fp", "component_id"), "components")
     return made.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    """The documents with all their columns and ``_fp``."""
+
+    def each(batches):
+        for batch in batches:
+            got = np.fromiter((fingerprint(x or b"", shingle) for x in batch.column(batch.num_columns - 1).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got.view(np.int64))], [*batch.schema.names[:-1], "_fp"])
+
+    return docs.withColumn("_raw", F.col("text").cast("binary")).mapInArrow(each, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
+
+
 def keep(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """One document of each group, that with the smallest doc_id, with all its columns."""
-    stay = assign(docs, shingle, crowd).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    """One row of each component, with all its columns: that with the smallest doc_id, of those the one with the least hash over its columns.
+
+    A doc_id that one row only has names its row. Where a component's smallest doc_id is null or repeated, the rows that have it
+    are few (or the table is at fault); their fingerprints are made again beside their columns, and each component takes one.
+    """
+    made, found = _found(docs, shingle, crowd)
+    by_fp = cut(found, "components")
+    heads = by_fp.select("label", F.col("component_id").alias("_keep")).distinct()
+    once = made.groupBy(F.col("doc_id").alias("_keep")).agg(F.count(F.lit(1)).alias("n")).where("n = 1 AND _keep IS NOT NULL")
+    heads = cut(heads.join(once, "_keep", "left"), "heads")
+    same = F.col("doc_id").eqNullSafe(F.col("_keep"))
+    stay = docs.join(heads.where("n = 1").select("_keep"), same, "left_semi")
+    unsure = heads.where("n IS NULL").select("_keep").distinct()
+    if unsure.isEmpty():
+        return stay
+    rows = _with_fingerprint(docs.join(unsure, same, "left_semi"), shingle).select(F.struct(*[f"`{n}`" for n in docs.columns]).alias("_row"), F.col("_fp").alias("fp"))
+    rows = rows.join(by_fp, "fp").where(F.col("_row.doc_id").eqNullSafe(F.col("component_id")))
+    return stay.union(rows.groupBy("label").agg(F.min_by("_row", row_hash(docs, "_row.")).alias("_row")).select("_row.*"))

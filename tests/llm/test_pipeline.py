@@ -8,7 +8,7 @@ from tests.llm.test_substring import slow as slow_substrings
 from tests.llm.test_tokens import check_packing
 
 import corpus_pipeline
-from millrace.llm import bpe, exact_dedup, quality
+from millrace.llm import bpe, exact_dedup, quality, simhash
 
 
 def lower(text):
@@ -77,3 +77,35 @@ def test_exact_dedup_edge_cases(spark):
         assert sorted((r.doc_id, r.digest) for r in exact_dedup.keep(docs, digest).collect() if r.doc_id) == [(2, "x"), (2, "y"), (3, "x"), (5, "x")]
     assert exact_dedup.assign(docs.limit(0)).collect() == []
     assert exact_dedup.keep(docs).columns == docs.columns
+
+
+def test_one_row_of_each_group(spark):
+    """Repeated rows, rows that differ in other columns only, null doc_ids, and doc_ids in more than one group."""
+    words = [" ".join(f"{a}{k}" for k in range(40)) for a in "abcdef"]
+    rows = [(1, words[0], "x"), (1, words[0], "x"), (1, words[0], "y"), (None, words[1], "x"), (None, words[1], "x"), (None, words[1].upper(), "y")]
+    rows += [(2, words[2], "x"), (3, words[2], "x"), (2, words[3], "x"), (2, words[3], "x"), (None, words[4], "x"), (4, words[4], "x"), (7, None, "x"), (7, "", "x"), (8, words[5], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def heads(best):
+        groups = {}
+        for d, t, _ in rows:
+            groups.setdefault(lower(t or ""), []).append(d)
+        return sorted(((t, best((x for x in ids if x is not None), default=None)) for t, ids in groups.items()), key=str)
+
+    def weak(content):
+        from pyspark.sql import functions as F
+
+        return F.substring(F.unhex(F.sha2(content, 256)), 1, 0)
+
+    for left, best in ((exact_dedup.keep_one(docs), max), (exact_dedup.keep_one(docs, weak), max), (simhash.keep(docs), min)):
+        got = left.collect()
+        assert left.columns == docs.columns and set(map(tuple, got)) <= set(rows)
+        assert sorted(((lower(r.text or ""), r.doc_id) for r in got), key=str) == heads(best)
+    assert exact_dedup.keep_one(docs.limit(0)).collect() == simhash.keep(docs.limit(0)).collect() == []
+
+
+def test_table_ingested_twice(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    for stage in (corpus_pipeline.exact, corpus_pipeline.near):
+        once, twice = ([tuple(r) for r in stage(spark, d, sf).collect()] for d in (docs, docs.union(docs)))
+        assert sorted(once) == sorted(twice)
