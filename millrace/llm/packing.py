@@ -16,12 +16,13 @@ corpus), makes the plan, and Spark gives each piece its place:
 
 Defined results: null text is empty and packs as the end id alone. Only documents longer than the
 capacity are cut; their first piece takes the remainder. Repeated doc_ids, ties and identical rows are
-all packed, each in its own place; which of equal pieces gets which place is arbitrary but fixed.
+all packed, each in its own place; which piece of a length gets which place follows the order of the written pieces.
 An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -36,33 +37,37 @@ CAPACITY = 2048
 PIECES_A_BUCKET = 1_000_000
 
 
-def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS) -> DataFrame:
-    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit): the tokenised documents, each with the end id, cut to the capacity."""
+def cut_up(edges: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each piece of documents with these edges: the document's number, the piece's, its start in the document and its length. A first piece takes the remainder."""
+    sizes = np.diff(edges)
+    count = -(-sizes // capacity)
+    doc = np.repeat(np.arange(len(sizes)), count)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    first = (sizes - (count - 1) * capacity)[doc]
+    return doc, piece, np.where(piece == 0, 0, first + (piece - 1) * capacity), np.where(piece == 0, first, capacity)
+
+
+def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS, with_ids: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and, ``with_ids``, ids (little-endian unsigned 32-bit): the tokenised documents, each with the end id, cut to the capacity."""
     tokenizer_path = tokenizer_path or bpe.default_path()
 
-    def cut_up(batches):
+    def each(batches):
         encoder = bpe.encoder(tokenizer_path, memo_parts)
         for batch in batches:
-            out, size = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.ids(text) + bpe.END
-                n = len(ids) // 4
-                edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
-                out += [(doc_id, k, a, b - a, ids[4 * a : 4 * b]) for k, (a, b) in enumerate(zip(edges, edges[1:]))]
-                size += len(ids)
-                if size > 8 << 20:
-                    yield _pieces(out)
-                    out, size = [], 0
-            if out:
-                yield _pieces(out)
+            doc_ids = batch.column(0)
+            for k, ids, edges in encoder.runs(batch.column(1)):
+                doc, piece, start, length = cut_up(edges, capacity)
+                at = 4 * (edges[doc] + start)
+                raw = memoryview(ids).cast("B")
+                crcs = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
+                columns = {"doc_id": doc_ids.take(pa.array(doc + k)), "piece": pa.array(piece, pa.int32()), "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crcs, pa.int64())}
+                if with_ids:
+                    offsets = np.append(at, len(raw)).astype(np.int32)
+                    columns["ids"] = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(cut_up, "doc_id long, piece int, start long, length long, ids binary")
-
-
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "piece", "start", "length", "ids"])
+    return rows.mapInArrow(each, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def find_complement(gap: int, left: np.ndarray, pair_sums: np.ndarray) -> tuple[int, ...] | None:
@@ -151,14 +156,16 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.
 
 
 def pack(slim: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``slim`` (doc_id, piece, length and others; read more than once, so a written table) with sequence_id and offset."""
+    """``slim`` (length and others; read more than once, so a written table) with sequence_id and offset."""
     histogram = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
     keys, ranks, sequences, offsets = places(plan(histogram, capacity))
     buckets = max(64, -(-sum(histogram.values()) // PIECES_A_BUCKET))
-    rows = slim.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets).cast("long")).cast("int"))
+    # The row's own number parts rows that are equal, or have no doc_id, however many they are.
+    rows = slim.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.lit(buckets).cast("long")).cast("int"))
     before = rows.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = before.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n")).drop("_n")
-    inside = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", *[c for c in slim.columns if c not in ("doc_id", "piece", "length")]))
+    inside = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_row"))
     rows = rows.withColumn("_inside", inside - 1).join(before, ["length", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_inside"))
     rows = rows.select(*slim.columns, "_rank")
 
@@ -176,8 +183,7 @@ def pack(slim: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def run(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    made = pieces(docs, tokenizer_path, capacity, memo_parts)
-    return pack(cut(made.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces"), capacity)
+    return pack(cut(pieces(docs, tokenizer_path, capacity, memo_parts, with_ids=False), "pieces"), capacity)
 
 
 def sequences(made: DataFrame, packed: DataFrame) -> DataFrame:

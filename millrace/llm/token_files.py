@@ -15,7 +15,8 @@ Files carry the attempt's unique name; the manifest, a table with a row for each
 finished task, says which count. A lost executor's files are simply not in it.
 
 Defined results: null text is empty (its one id is the end id). Rows go in ascending doc_id
-order, nulls first, equal doc_ids by text. An empty table writes no file and reads back as no rows.
+order, nulls first, equal doc_ids in the table's order. ``docs`` is read more than once and should be a table, so that its rows
+come in the same order each time. Other columns are ignored. An empty table writes no file and reads back as no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from .common import cut, shared_dir, shuffle_partitions
 MAGIC = b"MRTOKEN1"
 BLOCK_IDS = 4096
 READ_IDS = 1 << 20
+#: Text in a file, at most about this; the footer of a file is held while it is written or read.
+FILE_BYTES = 512 << 20
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
@@ -59,14 +62,16 @@ class Writer:
     def __init__(self, sink, width: int, block_ids: int = BLOCK_IDS):
         self.sink, self.width, self.block_ids = sink, width, block_ids
         self.docs, self.nulls, self.starts, self.blocks = [], [], [], []
-        self.ids, self.waiting, self.n_waiting = 0, [], 0
+        self.count, self.ids, self.waiting, self.n_waiting = 0, 0, [], 0
         self.sink.write(MAGIC + struct.pack("<II", width, block_ids))
         self.at = len(MAGIC) + 8
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append(doc_id or 0)
-        self.nulls.append(doc_id is None)
-        self.starts.append(self.ids)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, edges: np.ndarray) -> None:
+        """Documents with all their ids, one after another, and the edges of each one's."""
+        self.docs.append(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
+        self.nulls.append(doc_ids.is_null().to_numpy(zero_copy_only=False).astype("u1"))
+        self.starts.append((self.ids + edges[:-1]).astype("<i8"))
+        self.count += len(doc_ids)
         self.ids += len(ids)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
@@ -85,8 +90,8 @@ class Writer:
 
     def close(self) -> None:
         self._flush(-(-self.n_waiting // self.block_ids))
-        foot = np.array(self.docs, "<i8").tobytes() + np.array(self.nulls, "u1").tobytes() + np.array(self.starts, "<i8").tobytes() + np.array(self.blocks, "<u8").tobytes()
-        self.sink.write(foot + struct.pack("<QQQQ", self.at, len(self.docs), len(self.blocks), self.ids) + MAGIC)
+        foot = b"".join(x.tobytes() for x in (*self.docs, *self.nulls, *self.starts)) + np.array(self.blocks, "<u8").tobytes()
+        self.sink.write(foot + struct.pack("<QQQQ", self.at, self.count, len(self.blocks), self.ids) + MAGIC)
         self.sink.close()
 
 
@@ -136,7 +141,7 @@ def _open(path: str):
     return pa.fs.FileSystem.from_uri(path)
 
 
-def write(docs: DataFrame, folder: str, tokenizer_path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer_path: str, block_ids: int = BLOCK_IDS, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the files below ``folder`` (a URI that all executors reach) and return the manifest: part, path, docs, ids, start."""
 
     def write_part(batches):
@@ -146,20 +151,22 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, block_ids: int = BL
         width = max(1, (encoder.vocabulary - 1).bit_length())
         writer, path, part = None, None, TaskContext.get().partitionId()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k, ids, edges in encoder.runs(batch.column(1)):
                 if writer is None:
                     path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.tok"
                     fs, at = _open(path)
                     fs.create_dir(at.rpartition("/")[0], recursive=True)
                     writer = Writer(fs.open_output_stream(at), width, block_ids)
-                writer.add(doc_id, np.frombuffer(encoder.ids(text) + bpe.END, "<u4"))
+                writer.add(batch.column(0).slice(k, len(edges) - 1), ids, edges)
         if writer is not None:
             writer.close()
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [path], "docs": [len(writer.docs)], "ids": [writer.ids]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [path], "docs": [writer.count], "ids": [writer.ids]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    manifest = cut(rows.mapInArrow(write_part, "part int, path string, docs long, ids long"), "manifest")
+    files = max(shuffle_partitions(docs.sparkSession), -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // file_bytes))
+    # The row's own number parts rows that are equal, or have no doc_id, however many they are.
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(files, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    manifest = cut(rows.select("doc_id", "text").mapInArrow(write_part, "part int, path string, docs long, ids long"), "manifest")
     # A row for each file; their running sum is small.
     return manifest.withColumn("start", F.sum("ids").over(Window.orderBy("part")) - F.col("ids"))
 

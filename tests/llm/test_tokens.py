@@ -41,17 +41,37 @@ def crc(ids):
 def test_memo_gives_the_library_ids(encoder):
     rng = random.Random(1)
     parts = ["a", "b", " ", " ", "\n", "\t", ".", ",", "'s", "é", "1", "　", "<|endoftext|>", "\x1c", "words"]
-    for _ in range(3000):
-        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
-        assert encoder.ids(text) == np.array(brute(encoder, text)[:-1], "<u4").tobytes(), repr(text)
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    for given in (texts, *([t] for t in texts[:200])):  # many at once, and alone
+        ids, edges = encoder.batch(pa.array(given))
+        for k, text in enumerate(given):
+            assert ids[edges[k] : edges[k + 1]].tolist() == brute(encoder, text), repr(text)
 
 
 def test_memo_stays_small():
     small = bpe.Encoder(bpe.default_path(), memo_parts=10)
     for k in range(50):
         text = " ".join(f"w{k}x{j}" for j in range(20))
-        assert small.ids(text) == small.whole(text)
-        assert len(small.memo) <= 10 + 2 * 21
+        assert small.batch(pa.array([text]))[0].tolist() == brute(small, text)
+        assert len(small.after_space) + len(small.bare) <= 10 + 6 * 21
+
+
+def test_runs_of_bounded_bytes(encoder, monkeypatch):
+    texts = ["a b c. d" * k for k in (0, 1, 50, 3, 2, 0, 80)]
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 100)
+    runs = list(encoder.runs(pa.array(texts)))
+    assert [k for k, _, _ in runs] == [0, 2, 3, 6]
+    assert [ids[e[j] : e[j + 1]].tolist() for _, ids, e in runs for j in range(len(e) - 1)] == [brute(encoder, t) for t in texts]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+
+    other = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Some  words here", "", "It's\nnot the same"]
+    ids, edges = other.batch(pa.array(texts))
+    assert not other.cuttable
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [brute(other, t) for t in texts]
 
 
 @pytest.mark.parametrize("width", [1, 3, 11, 16, 17, 31, 32])
@@ -66,8 +86,8 @@ def test_file_format_any_width(width, block):
 
     sink = Keep()
     writer = token_files.Writer(sink, width, block)
-    for d, ids in docs:
-        writer.add(d, ids)
+    for some in (docs[:7], docs[7:8], docs[8:]):
+        writer.add(pa.array([d for d, _ in some], pa.int64()), np.concatenate([i for _, i in some]), np.cumsum([0, *(len(i) for _, i in some)]))
     writer.close()
     reader = token_files.Reader(pa.PythonFile(io.BytesIO(sink.getvalue()), "r"))
     assert [(d, i.tolist()) for d, _, i in reader.documents()] == [(d, i.tolist()) for d, i in docs]
@@ -90,6 +110,15 @@ def test_token_files(spark, encoder):
     assert token_files.round_trip(docs.limit(0)).collect() == []
 
 
+def test_token_files_of_rows_without_ids(spark, encoder):
+    docs = spark.createDataFrame([(None, "same text")] * 500 + [(k, "other") for k in range(20)], "doc_id long, text string").repartition(3)
+    made = token_files.write(docs, f"{token_files.shared_dir(spark)}/tokens", bpe.default_path())
+    assert made.where("docs > 300").count() == 0  # equal rows are spread over the files
+    got = token_files.read_back(spark, made).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 500 + list(range(20))
+    assert {(r.n_tokens, r.ids_crc32) for r in got if r.doc_id is None} == {(len(brute(encoder, "same text")), crc(brute(encoder, "same text")))}
+
+
 def check_packing(rows, texts, encoder, capacity):
     by_doc = defaultdict(list)
     for r in rows:
