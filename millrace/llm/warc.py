@@ -3,11 +3,11 @@
 Writing: a page becomes a transaction of three records, request, response (or revisit) and metadata; the request and the
 metadata name the response's record id in WARC-Concurrent-To. Each task writes a file of gzip members, one a record; the
 manifest names the files of finished tasks, so what a lost executor left does not count. Which pages are revisits is settled
-before: payloads are grouped by SHA-256 with map-side aggregation, and only the digests that repeat are joined back, in
+before: payloads are grouped by SHA-256 with map-side aggregation, and only the digests that repeat are written and joined back, in
 a join that adaptive execution splits where one payload is hot.
 
-Reading: files are parsed record by record. Transactions are assembled by joins through the concurrent-to ids; revisits find
-the capture that they refer to by its record id.
+Reading: files are parsed record by record. Transactions are assembled by joins through the concurrent-to ids. Responses are then
+complete; only revisits are joined, with the captures that they refer to, by record id.
 
 Defined results: null html is an empty payload, a null url is ``about:blank``. Payloads below ``LEAST_REVISITED`` bytes are always responses. Of equal
 longer ones the smallest non-null page_id is the response; its repeated rows are too. Rows that repeat both page_id and payload
@@ -95,7 +95,8 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     long = F.octet_length("payload") >= LEAST_REVISITED
     first = rows.where(long).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    rows = rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", "first")
+    # Written, so that the join has two bare exchanges and adaptive execution can split a payload that very many pages share.
+    rows = rows.join(cut(first, "firsts"), "digest", "left").select("page_id", "url", "payload", "digest", "first")
 
     def write_part(batches):
         sink, path, n = None, None, 0
@@ -177,15 +178,19 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     held = held.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
     captures = assemble(cut(held, "records"))
     page_id = F.regexp_extract(F.col("metadata.payload").cast("string"), r"page-id: (-?\d*)", 1)
-    captures = captures.select("capture_id", F.nullif(page_id, F.lit("")).cast("long").alias("page_id"), "response")
-    # Equal captures repeat their id; one row for each is enough to be referred to.
-    originals = captures.where("response.type = 'response'").groupBy("capture_id").agg(F.min("page_id").alias("page"), F.min("response.stored_bytes").alias("bytes"), F.min("response.stored_digest").alias("digest"))
-    revisit = F.col("response.type") == "revisit"
-    joined = captures.join(originals.withColumnRenamed("capture_id", "original"), F.col("response.refers_to") == F.col("original"), "left")
-    return joined.select(
-        "page_id",
-        F.when(revisit, F.col("bytes")).otherwise(F.col("response.stored_bytes")).alias("payload_bytes"),
-        F.when(revisit, F.col("digest")).otherwise(F.col("response.stored_digest")).alias("payload_digest"),
+    captures = captures.select(
+        "capture_id",
+        F.nullif(page_id, F.lit("")).cast("long").alias("page_id"),
         F.col("response.type").alias("record_type"),
-        F.when(revisit, F.col("page")).alias("refers_to"),
+        F.col("response.refers_to").alias("original"),
+        F.col("response.stored_bytes").alias("payload_bytes"),
+        F.col("response.stored_digest").alias("payload_digest"),
     )
+    captures = cut(captures, "captures")
+    own = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    responses = captures.where("record_type = 'response'").select(*own, F.lit(None).cast("long").alias("refers_to"))
+    revisits = captures.where("record_type = 'revisit'").select("page_id", "original", "record_type")
+    # Equal captures repeat their id; one row for each is enough to be referred to. Written, so that a hot one can be split.
+    originals = captures.where("record_type = 'response'").groupBy(F.col("capture_id").alias("original")).agg(F.min("page_id").alias("refers_to"), F.min("payload_bytes").alias("payload_bytes"), F.min("payload_digest").alias("payload_digest"))
+    originals = cut(originals.join(revisits.select("original").distinct(), "original", "left_semi"), "originals")
+    return responses.unionByName(revisits.join(originals, "original", "left").select(*own, "refers_to"))
