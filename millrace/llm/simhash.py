@@ -6,16 +6,17 @@ and one at most in b (pigeonhole). Each b is decoded by the perfect Golay code (
 exactly one codeword within three bits, and one that is three bits from it has five more at four bits. So if two b
 differ in one bit, the nearest codeword of one is among the six of the other. A fingerprint is stored under
 (a, b, a's bits, b's nearest codeword) and looked up under all of b's codewords: 6 stored keys of 34 bits
-and at most 36 lookups, whatever the corpus; what they find is verified by its distance.
+and at most 36 lookups, whatever the corpus.
 
-Equal fingerprints are merged before keys are made. A key with over ``CROWD`` stored fingerprints (a family
-of near copies) is not paired out: its fingerprints, and those that look it up, emit themselves and their 64
-one-bit neighbours; two fingerprints are within two bits just when they share such a value, at most 65
-fingerprints share one, and each is linked to the smallest of them. So no link is lost, and work stays linear.
+Equal fingerprints are merged before keys are made. A key that is looked up by two fingerprints or more and stored by one makes
+all of them candidates. Pairs are not made inside a key, so that a family of near copies costs no more than its size: candidates meet at
+values one bit away. Each emits itself and its 64 one-bit neighbours; two fingerprints are within two bits just when they share such a value, at most 65
+share one, and each that meets another there is verified by its distance from the smallest and linked to it. This is the same for keys of every size.
 
 Defined results: a text without words (null, empty) has fingerprint zero and is linked like any other;
 with fewer words than a shingle the whole sequence is the only shingle. Component ids are the smallest non-null doc_id; a component with
-null doc_ids only has a null id. Repeated rows link like copies. ``keep`` leaves one row of each component, whatever its doc_ids. An empty table gives an empty result.
+null doc_ids only has a null id. Repeated rows link like copies. Very long texts are hashed a bounded number of shingles at a time. Other columns are
+ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,14 +28,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import LOWER_TABLE, cut, row_hash
+from .common import LOWER_TABLE, cut
 from .components import components
 
 SHINGLE = 3
 SEED = 42
-CROWD = 32
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 
@@ -118,97 +117,54 @@ def golay() -> Golay:
     return _GOLAY[0]
 
 
-def keys_of(fps: np.ndarray, lookup: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and the fingerprints they belong to: stored keys, or those to look up."""
+def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys that fingerprints look up, the fingerprints they belong to, and whether they are stored under them."""
     code, bits = golay(), fps.view(np.uint64)
     parts = [(bits >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in SEGMENTS]
     words = [code.codewords(x) for x in parts]
-    keys, owners = [], []
+    keys, owners, stored = [], [], []
     for a in range(3):
         for b in range(3):
             if a != b:
                 base = ((3 * a + b) << 22 | parts[a]) << 12
                 near, more = words[b]
-                keys.append(base | near)
-                owners.append(fps)
-                if lookup:
-                    row, column = np.nonzero(more >= 0)
-                    keys.append(base[row] | more[row, column])
-                    owners.append(fps[row])
-    return np.concatenate(keys), np.concatenate(owners)
+                row, column = np.nonzero(more >= 0)
+                keys += [base | near, base[row] | more[row, column]]
+                owners += [fps, fps[row]]
+                stored += [np.ones(len(fps), bool), np.zeros(len(row), bool)]
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(stored)
 
 
-def _keyed(fps: DataFrame, lookup: bool, name: str) -> DataFrame:
+def candidates(fps: DataFrame) -> DataFrame:
+    """fp: the fingerprints that share a key which one of them is stored under."""
+
     def each(batches):
         for batch in batches:
-            keys, owners = keys_of(batch.column(0).to_numpy(zero_copy_only=False), lookup)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owners)], ["key", name])
-
-    return fps.select("fp").mapInArrow(each, f"key long, {name} long")
-
-
-def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """u, v: pairs of distinct fingerprints within two bits; in crowds, enough of them to connect what all would."""
-    stored = _keyed(fps, False, "stored")
-    sizes = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    few = stored.join(sizes.where(F.col("n") <= crowd), "key").select("key", "stored")
-    many = sizes.where(F.col("n") > crowd).select("key", F.lit(None).cast("long").alias("stored"))
-    met = _keyed(fps, True, "fp").join(few.union(many), "key")
-    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("stored")))
-    met = cut(met.where(F.col("stored").isNull() | apart.between(1, 2)).select("fp", "stored").distinct(), "met")
-    pairs = met.where("stored IS NOT NULL").select(F.greatest("fp", "stored").alias("u"), F.least("fp", "stored").alias("v"))
+            keys, owners, stored = keys_of(batch.column(0).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owners), pa.array(stored)], ["key", "fp", "stored"])
+
+    keyed = fps.select("fp").mapInArrow(each, "key long, fp long, stored boolean")
+    shared = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.max("stored").alias("stored"))
+    shared = shared.where("low < high AND stored").select("key")
+    return keyed.select("key", "fp").join(shared, "key", "left_semi").select("fp").distinct()
+
+
+def links(fps: DataFrame) -> DataFrame:
+    """u, v: distinct fingerprints within two bits, enough of them to connect what all such pairs would."""
     flips = F.expr("transform(sequence(0, 64), i -> IF(i = 64, fp, fp ^ shiftleft(1L, i)))")
-    spread = met.where("stored IS NULL").select("fp", F.explode(flips).alias("value"))
-    spread = spread.withColumn("v", F.min("fp").over(Window.partitionBy("value")))  # at most 65 rows a value
-    return pairs.union(spread.where("fp <> v").select(F.col("fp").alias("u"), "v")).distinct()
+    met = candidates(fps).select("fp", F.explode(flips).alias("value"))
+    met = met.withColumn("v", F.min("fp").over(Window.partitionBy("value")))  # at most 65 rows a value
+    return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("v"))).between(1, 2)).select(F.col("fp").alias("u"), "v").distinct()
 
 
-def _found(docs: DataFrame, shingle: int, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """doc_id, fp of each document; fp, label (the component's smallest fingerprint), component_id of each fingerprint."""
+def assign(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, fingerprint, component_id: a row for each document."""
     made = cut(fingerprints(docs, shingle), "fingerprints")
     own = cut(made.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    nodes = components(links(own, crowd))
+    nodes = components(links(own))
     joined = nodes.join(own, F.col("node") == F.col("fp"))
     smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"))
-    found = nodes.join(smallest, "label").select(F.col("node").alias("fp"), "label", "component_id")
-    return made, own.join(found, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), F.coalesce("component_id", "first").alias("component_id"))
-
-
-def assign(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """doc_id, fingerprint, component_id: a row for each document."""
-    made, found = _found(docs, shingle, crowd)
+    found = nodes.join(smallest, "label").select(F.col("node").alias("fp"), "component_id", F.lit(True).alias("linked"))
+    by_fp = own.join(found, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"))
     # Written, so that the last join shuffles both its sides and adaptive execution can split a fingerprint that very many documents share.
-    by_fp = cut(found.select("fp", "component_id"), "components")
-    return made.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    """The documents with all their columns and ``_fp``."""
-
-    def each(batches):
-        for batch in batches:
-            got = np.fromiter((fingerprint(x or b"", shingle) for x in batch.column(batch.num_columns - 1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got.view(np.int64))], [*batch.schema.names[:-1], "_fp"])
-
-    return docs.withColumn("_raw", F.col("text").cast("binary")).mapInArrow(each, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
-
-
-def keep(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """One row of each component, with all its columns: that with the smallest doc_id, of those the one with the least hash over its columns.
-
-    A doc_id that one row only has names its row. Where a component's smallest doc_id is null or repeated, the rows that have it
-    are few (or the table is at fault); their fingerprints are made again beside their columns, and each component takes one.
-    """
-    made, found = _found(docs, shingle, crowd)
-    by_fp = cut(found, "components")
-    heads = by_fp.select("label", F.col("component_id").alias("_keep")).distinct()
-    once = made.groupBy(F.col("doc_id").alias("_keep")).agg(F.count(F.lit(1)).alias("n")).where("n = 1 AND _keep IS NOT NULL")
-    heads = cut(heads.join(once, "_keep", "left"), "heads")
-    same = F.col("doc_id").eqNullSafe(F.col("_keep"))
-    stay = docs.join(heads.where("n = 1").select("_keep"), same, "left_semi")
-    unsure = heads.where("n IS NULL").select("_keep").distinct()
-    if unsure.isEmpty():
-        return stay
-    rows = _with_fingerprint(docs.join(unsure, same, "left_semi"), shingle).select(F.struct(*[f"`{n}`" for n in docs.columns]).alias("_row"), F.col("_fp").alias("fp"))
-    rows = rows.join(by_fp, "fp").where(F.col("_row.doc_id").eqNullSafe(F.col("component_id")))
-    return stay.union(rows.groupBy("label").agg(F.min_by("_row", row_hash(docs, "_row.")).alias("_row")).select("_row.*"))
+    return made.join(cut(by_fp, "components"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

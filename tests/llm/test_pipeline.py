@@ -3,12 +3,12 @@
 import hashlib
 
 from tests.llm.test_quality import slow as slow_quality
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from tests.llm.test_near_copies import slow_groups
 from tests.llm.test_substring import slow as slow_substrings
 from tests.llm.test_tokens import check_packing
 
 import corpus_pipeline
-from millrace.llm import bpe, exact_dedup, quality, simhash
+from millrace.llm import bpe, exact_dedup, near_copies, quality
 
 
 def lower(text):
@@ -34,8 +34,8 @@ def test_stages(spark, sf):
     for r in kept["quality_rules"]:
         last[lower(r.text)] = max(r.doc_id, last.get(lower(r.text), -1))
     assert ids["exact_dedup"] == set(last.values())
-    items = [(r.doc_id, slow_fingerprint(r.text)) for r in kept["exact_dedup"]]
-    assert ids["simhash_near_dedup"] == set(slow_components(items))
+    rows = [(r.doc_id, r.text) for r in kept["exact_dedup"]]
+    assert ids["simhash_near_dedup"] == {min(g) for g in slow_groups(rows)}
     rows = [(r.doc_id, r.text) for r in kept["simhash_near_dedup"]]
     out = {r.doc_id: r for r in kept["substring_dedup"]}
     assert len(out) == len(rows)
@@ -97,11 +97,11 @@ def test_one_row_of_each_group(spark):
 
         return F.substring(F.unhex(F.sha2(content, 256)), 1, 0)
 
-    for left, best in ((exact_dedup.keep_one(docs), max), (exact_dedup.keep_one(docs, weak), max), (simhash.keep(docs), min)):
+    for left, best in ((exact_dedup.keep_one(docs), max), (exact_dedup.keep_one(docs, weak), max), (near_copies.keep(docs), min)):
         got = left.collect()
         assert left.columns == docs.columns and set(map(tuple, got)) <= set(rows)
         assert sorted(((lower(r.text or ""), r.doc_id) for r in got), key=str) == heads(best)
-    assert exact_dedup.keep_one(docs.limit(0)).collect() == simhash.keep(docs.limit(0)).collect() == []
+    assert exact_dedup.keep_one(docs.limit(0)).collect() == near_copies.keep(docs.limit(0)).collect() == []
 
 
 def test_table_ingested_twice(spark, sf):
