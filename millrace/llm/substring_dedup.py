@@ -18,7 +18,9 @@ find candidates by 48 bits; coverage is decided by 96 bits of the whole window.
 Texts travel once, compressed, in one exchange by doc_id that the three joins on it reuse.
 
 Defined results: null text has no words. Windows of rows with the same doc_id do not cover each other. A null
-doc_id counts as larger than all others. Repeated rows give equal results. An empty table gives an empty result.
+doc_id counts as larger than all others; each such row is placed by its own number, however many there are, so ``docs`` should be a table, whose rows
+come in the same order each time. Rows that share a doc_id are placed together. Repeated rows give equal results. Very long texts cost time in
+proportion. Other columns are ignored by ``measure`` and carried by ``apply``, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .common import cut
 
@@ -40,7 +43,8 @@ COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 #: Rows that a task holds to combine them.
 HELD = 500_000
-LAST = (1 << 63) - 1
+#: Rows without a doc_id are placed below this; no doc_id may be.
+NULLS_BELOW = -(1 << 63) + (1 << 61)
 
 
 def spans(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -160,13 +164,14 @@ def _window_rows(batches):
 
     def send(held):
         ords, tags = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int32)
+        rank = np.where(ords < NULLS_BELOW, np.iinfo(np.int64).max, ords)
         owner = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
         at, k, k2 = (np.concatenate([h[j] for h in held]) for j in (2, 3, 4))
-        order = np.lexsort((at, owner, ords[owner], k2, k))
+        order = np.lexsort((at, owner, rank[owner], k2, k))
         owner, at, k, k2 = owner[order], at[order].astype("<i4"), k[order], k2[order]
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (k2[1:] != k2[:-1])])
-        least = ords[owner][np.flatnonzero(new)][np.cumsum(new) - 1]  # sorted by ord within a window
-        ask = np.flatnonzero(ords[owner] == least)
+        least = rank[owner][np.flatnonzero(new)][np.cumsum(new) - 1]  # sorted by rank within a window
+        ask = np.flatnonzero(rank[owner] == least)
         head = np.concatenate([[True], new[ask][1:] | (owner[ask][1:] != owner[ask][:-1])])
         heads, count = ask[head], np.diff(np.append(np.flatnonzero(head), len(ask)))
         plain = (count == 1) & (tags[owner[heads]] == 0)
@@ -234,22 +239,28 @@ def _finish(batches):
 
 
 def _run(docs: DataFrame, whole: bool) -> DataFrame:
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ord")
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), order, F.col("text").cast("binary").alias("text")]
-    row = ""
+    doc_id = F.col("doc_id").cast("long")
+    own_place = F.lit(-(1 << 63)) + F.monotonically_increasing_id()
+    order = F.when(doc_id.isNull(), own_place).when(doc_id < NULLS_BELOW, F.raise_error(F.lit("doc_id too small"))).otherwise(doc_id).cast("long").alias("ord")
+    columns = [doc_id.alias("doc_id"), order, F.col("text").cast("binary").alias("text")]
+    row = []
     if whole:
-        others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row")
-        columns.insert(0, others)
-        row = f"_row {docs.select(others).schema[0].dataType.simpleString()}, "
-    base = docs.select(*columns).mapInArrow(_prepare, f"{row}doc_id long, ord long, n_words long, sha binary, body binary")
+        columns.insert(0, F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row"))
+    chosen = docs.select(*columns)
+    if whole:
+        row = [chosen.schema["_row"]]
+    prepared = StructType([*row, *_fields("doc_id long, ord long, n_words long, sha binary, body binary")])
+    base = chosen.mapInArrow(_prepare, prepared)
 
     versions = cut(docs.select(order, F.col("text").cast("binary").alias("text")).mapInArrow(_digests, "ord long, sha binary").distinct(), "digests")
-    versions = versions.join(versions.groupBy("sha").agg(F.min("ord").alias("least")), "sha")
-    versions = versions.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("sha", "least"))).alias("versions"))  # the texts under one doc_id: one, as a rule
-    texts = base.join(versions, "ord")
+    # Written, so that the join has two bare exchanges and adaptive execution can split a text that very many documents share.
+    least = cut(versions.groupBy("sha").agg(F.min(F.when(F.col("ord") >= NULLS_BELOW, F.col("ord"))).alias("least")), "least")
+    versions = versions.join(least, "sha").groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("sha", "least"))).alias("versions"))  # the texts under one doc_id: one, as a rule
+    texts = base.join(versions, "ord", "left")
     sha = F.coalesce("sha", F.lit(b""))  # never null; else a test for null is pushed below two of the three exchanges of ``texts``, and they differ
-    texts = texts.withColumn("tag", (F.array_position(F.transform("versions", lambda v: v["sha"]), sha) - 1).cast("int"))
-    texts = texts.withColumn("copy", F.col("versions")[F.col("tag")]["least"] < F.col("ord")).drop("versions")
+    texts = texts.withColumn("tag", F.coalesce((F.array_position(F.transform("versions", lambda v: v["sha"]), sha) - 1).cast("int"), F.lit(0)))
+    first = F.col("versions")[F.col("tag")]["least"]
+    texts = texts.withColumn("copy", F.coalesce((first < F.col("ord")) | (first.isNotNull() & (F.col("ord") < NULLS_BELOW)), F.lit(False))).drop("versions")
 
     # All three uses of the texts take all their columns and leave no filter to push below, so that they are the same exchange to Spark, which then makes it once.
     own = [*(["_row"] if whole else []), "doc_id", "ord", "n_words", "sha", "body"]
@@ -261,14 +272,19 @@ def _run(docs: DataFrame, whole: bool) -> DataFrame:
 
     found = texts.where(~F.col("copy")).join(shared, "ord").select(*own, "tag", "ks", "many")
     found = found.mapInArrow(_window_rows, "k long, k2 int, ord long, p int, more binary")
-    least = F.min(F.when(F.col("k2").isNotNull(), F.col("ord"))).over(Window.partitionBy("k", "k2"))
-    covered = found.withColumn("least", least).where("k2 IS NULL OR ord > least")
+    least = F.min(F.when(F.col("k2").isNotNull() & (F.col("ord") >= NULLS_BELOW), F.col("ord"))).over(Window.partitionBy("k", "k2"))
+    covered = found.withColumn("least", least).where(f"k2 IS NULL OR ord > least OR (least IS NOT NULL AND ord < {NULLS_BELOW})")
     # Narrow rows travel; a text's lists are made where they arrive.
     covered = covered.select("ord", "p", "more").repartition("ord").groupBy("ord").agg(F.collect_list("p").alias("ps"), F.collect_list("more").alias("more"))
 
     done = texts.join(covered, "ord", "left")
     done = done.select(*own, "copy", "tag", "ps", "more", *([F.lit("").alias("text")] if whole else []))
-    return done.mapInArrow(_finish, f"{row}doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * whole)
+    return done.mapInArrow(_finish, StructType([*row, *_fields("doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * whole)]))
+
+
+def _fields(columns: str) -> list[StructField]:
+    kinds = {"long": LongType(), "string": StringType(), "binary": BinaryType()}
+    return [StructField(name, kinds[kind]) for name, kind in (c.split() for c in columns.split(", "))]
 
 
 def measure(docs: DataFrame) -> DataFrame:

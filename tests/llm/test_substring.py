@@ -107,3 +107,17 @@ def test_edge_cases(spark):
     assert sorted(map(tuple, substring_dedup.measure(docs).collect())) == sorted(slow(rows))
     assert substring_dedup.apply(docs).columns == docs.columns
     assert substring_dedup.measure(docs.limit(0)).collect() == []
+
+
+def test_rows_without_ids_and_odd_names(spark):
+    last = (1 << 63) - 1
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(None, f"a{k} {shared}") for k in range(40)] + [(None, shared)] * 3 + [(last, f"z {shared}"), (7, None), (None, None)]
+    docs = spark.createDataFrame([(d, t, 1, "y", len(t or "")) for d, t in rows], "doc_id long, text string, `a.b c` int, _row string, n_chars int")
+    assert sorted(map(tuple, substring_dedup.measure(docs).collect()), key=str) == sorted(slow(rows), key=str)
+    got = substring_dedup.apply(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.text or "") for r in got.collect() if r.doc_id is None and r.text)[:2] == ["a0", "a1"]
+    alone = [r for r in rows if r[0] is None]
+    got = substring_dedup.measure(spark.createDataFrame(alone, "doc_id long, text string")).collect()
+    assert all(r.n_removed == 0 for r in got)  # none is smaller than another
