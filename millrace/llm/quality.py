@@ -4,13 +4,15 @@ Base counts are exact counts over the whole text. A text that passes the base ru
 zstandard, whole and in fixed chunks; compressed size / size must lie in a band that depends on the length,
 since short texts compress badly whatever they say. Below the band a text repeats itself; above
 it, it is noise (such as encoded binary data). A text is rejected when its whole ratio, or over
-``CHUNK_SHARE`` of its chunks, lies outside. Texts below ``CHUNK`` bytes are their own only chunk.
+``CHUNK_SHARE`` of its chunks, lies outside. A last chunk below ``LEAST_CHUNK`` bytes is joined to
+the one before. Texts below ``CHUNK`` bytes are their own only chunk.
 
 The upper limits lie 0.01 to 0.02 below the least ratio of base64 (six bits a byte: about 0.74, and more for shorter texts because of
 frame and table) at the band's far end, in lines or in words down to eight characters; labelled good documents lie below them. Under 128 bytes
 noise and prose are both stored raw, so no limit parts them, nor does one part encodings of four bits a byte (hex) from prose.
 
-Defined results: null text has no words and fails the base rules. Repeated rows and doc_ids are judged one by one.
+Defined results: null text has no words and fails the base rules. Repeated rows and doc_ids are judged one by one. Very long texts
+cost time in proportion. ``measure`` ignores other columns, ``keep`` carries them, whatever their names.
 An empty table gives an empty result.
 """
 
@@ -85,7 +87,9 @@ def base(raw: bytes) -> tuple[int, int, int, int, int]:
 
 def ratios(raw: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, list[float]]:
     parts = [raw[k : k + CHUNK] for k in range(0, len(raw), CHUNK)]
-    parts = [p for p in parts if len(p) >= LEAST_CHUNK]
+    if len(parts) > 1 and len(parts[-1]) < LEAST_CHUNK:
+        rest = parts.pop()
+        parts[-1] += rest
     return len(compressor.compress(raw)) / len(raw), [len(compressor.compress(p)) / len(p) for p in parts]
 
 

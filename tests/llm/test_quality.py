@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+from collections import Counter
 
 import pytest
 import zstandard
@@ -14,13 +15,25 @@ def slow(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
-    marked = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(5)}
-    lines, dups = text.split("\n"), 0
-    for k, line in enumerate(lines):
-        dups += bool(re.search(r"[^\x20\x09-\x0D]", line)) and line in lines[:k]
+    times = Counter(windows)
+    marked = {k + j for k, w in enumerate(windows) if times[w] > 1 for j in range(5)}
+    seen, dups = set(), 0
+    for line in text.split("\n"):
+        dups += bool(re.search(r"[^\x20\x09-\x0D]", line)) and line in seen
+        seen.add(line)
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dups, len(marked)
 
 
+def slow_verdict(text):
+    """kept, whole ratio, share of chunks outside; written from the module's docstring."""
+    raw, ratio = text.encode(), lambda x: len(zstandard.compress(x, 3)) / len(x)
+    _, low, high, chunk_low, chunk_high = [b for b in quality.BANDS if b[0] <= len(raw)][-1]
+    cuts = [k for k in range(0, len(raw), 4096) if k == 0 or len(raw) - k >= 1024]
+    chunks = [ratio(raw[a:b]) for a, b in zip(cuts, [*cuts[1:], len(raw)])]
+    outside = sum(r < chunk_low or r > chunk_high for r in chunks) / len(chunks)
+    return low <= ratio(raw) <= high and outside <= 0.2, ratio(raw), outside
+
+
 def random_text(seed):
     rng = random.Random(seed)
     return "".join(rng.choices(["a", "b", "é", "日本", " ", " ", " ", "\n", "\t", "\x1c", "\xa0", "#", "|", "<", "\r\n", "a b a b a b a"], k=rng.randint(0, 80)))
@@ -38,12 +51,11 @@ def test_documents(spark, sf):
     rows = docs.collect()
     assert len(got) == len(rows)
     for r in rows:
-        if len(r.text) < 3000:
-            n, chars, symbols, dups, repeats = want = slow(r.text)
-            g = got[r.doc_id]
-            assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == want
-            assert g.base_failed == (n < 10 or 100 * repeats > 20 * n)
-            assert not (g.base_failed and g.kept)
+        n, chars, symbols, dups, repeats = want = slow(r.text)
+        g = got[r.doc_id]
+        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == want
+        assert g.base_failed == (n < 10 or 100 * repeats > 20 * n)
+        assert (g.kept, g.whole_ratio, g.chunks_outside) == ((False, None, None) if g.base_failed else slow_verdict(r.text))
     kept = {r.doc_id for r in quality.keep(docs).collect()}
     assert kept == {d for d, r in got.items() if r.kept}
 
@@ -79,6 +91,16 @@ def test_noise_in_a_third_of_the_chunks():
     assert quality.verdict(plain, c)[0] and not quality.verdict(plain + noise, c)[0]
 
 
+@pytest.mark.parametrize("rest", [1, 500, 1023, 1024, 4095])
+def test_last_chunk_is_judged(rest):
+    rng, c = random.Random(rest), zstandard.ZstdCompressor(level=3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    raw = " ".join(rng.choices(words, k=9000)).encode()[: 2 * quality.CHUNK + rest]
+    assert quality.verdict(raw, c) == slow_verdict(raw.decode())
+    sizes = [len(x) for x in (raw[: quality.CHUNK], raw[quality.CHUNK :])] if rest < 1024 else [quality.CHUNK, quality.CHUNK, rest]
+    assert len(quality.ratios(raw, c)[1]) == len(sizes)
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "k"), (1, None, "k"), (None, "few words", "k"), (2, "word " * 200000, "k"), (3, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
