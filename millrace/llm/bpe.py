@@ -97,13 +97,13 @@ def totals(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str, memo_parts: int = MEMO_PARTS):
+    def __init__(self, path: str, memo_parts: int = MEMO_PARTS, chunk_bytes: int = CHUNK_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.memo_parts = memo_parts
+        self.memo_parts, self.chunk_bytes = memo_parts, chunk_bytes
         self.cuttable = cuttable(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = "".join(c for c in string.punctuation if not any(c in a for a in self.added))
@@ -120,12 +120,12 @@ class Encoder:
         self.bare: dict[str, int] = {}
 
     def runs(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Texts (strings without nulls) a run at a time, of CHUNK_BYTES or of one text: the first one's place, all ids, each text's with the end id, and the edges of each."""
+        """Texts (strings without nulls) a run at a time, of ``chunk_bytes`` or of one text: the first one's place, all ids, each text's with the end id, and the edges of each."""
         texts = texts.cast(pa.large_string())
         edges = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
         k = 0
         while k < len(texts):
-            upto = max(k + 1, int(np.searchsorted(edges, edges[k] + CHUNK_BYTES, "right")) - 1)
+            upto = max(k + 1, int(np.searchsorted(edges, edges[k] + self.chunk_bytes, "right")) - 1)
             run = texts.slice(k, upto - k)
             yield k, *(self._cut(run) if self.cuttable else self._whole(run.to_pylist()))
             k = upto
@@ -219,12 +219,12 @@ class Encoder:
             memo.update(zip(some, range(first, first + len(some))))
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, memo_parts: int = MEMO_PARTS) -> Encoder:
-    """One for each Python worker, file and bound; a part of the memo takes about 250 bytes."""
-    if (path, memo_parts) not in _ENCODERS:
+def encoder(*parameters) -> Encoder:
+    """One for each Python worker and set of parameters; a part of the memo takes about 250 bytes."""
+    if parameters not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, memo_parts] = Encoder(path, memo_parts)
-    return _ENCODERS[path, memo_parts]
+        _ENCODERS[parameters] = Encoder(*parameters)
+    return _ENCODERS[parameters]

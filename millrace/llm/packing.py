@@ -47,12 +47,12 @@ def cut_up(edges: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np
     return doc, piece, np.where(piece == 0, 0, first + (piece - 1) * capacity), np.where(piece == 0, first, capacity)
 
 
-def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS, with_ids: bool = True) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS, chunk_bytes: int = bpe.CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, ``with_ids``, ids (little-endian unsigned 32-bit): the tokenised documents, each with the end id, cut to the capacity."""
     tokenizer_path = tokenizer_path or bpe.default_path()
 
     def each(batches):
-        encoder = bpe.encoder(tokenizer_path, memo_parts)
+        encoder = bpe.encoder(tokenizer_path, memo_parts, chunk_bytes)
         for batch in batches:
             doc_ids = batch.column(0)
             for k, ids, edges in encoder.runs(batch.column(1)):
@@ -181,9 +181,9 @@ def pack(slim: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.mapInArrow(place, schema)
 
 
-def run(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS) -> DataFrame:
+def run(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, memo_parts: int = bpe.MEMO_PARTS, chunk_bytes: int = bpe.CHUNK_BYTES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(cut(pieces(docs, tokenizer_path, capacity, memo_parts, with_ids=False), "pieces"), capacity)
+    return pack(cut(pieces(docs, tokenizer_path, capacity, memo_parts, chunk_bytes, with_ids=False), "pieces"), capacity)
 
 
 def sequences(made: DataFrame, packed: DataFrame) -> DataFrame:

@@ -56,10 +56,9 @@ def test_memo_stays_small():
         assert len(small.after_space) + len(small.bare) <= 10 + 6 * 21
 
 
-def test_runs_of_bounded_bytes(encoder, monkeypatch):
+def test_runs_of_bounded_bytes(encoder):
     texts = ["a b c. d" * k for k in (0, 1, 50, 3, 2, 0, 80)]
-    monkeypatch.setattr(bpe, "CHUNK_BYTES", 100)
-    runs = list(encoder.runs(pa.array(texts)))
+    runs = list(bpe.Encoder(bpe.default_path(), 1000, 100).runs(pa.array(texts)))
     assert [k for k, _, _ in runs] == [0, 2, 3, 6]
     assert [ids[e[j] : e[j + 1]].tolist() for _, ids, e in runs for j in range(len(e) - 1)] == [brute(encoder, t) for t in texts]
 
