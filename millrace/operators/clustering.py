@@ -11,11 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def match_pairs(rows: DataFrame, company: str, order: str, anchors: str) -> DataFrame:
-    """company, a, b, priority: pairs of one company's rows that share an anchor, from an equi-join on exploded anchors. ``anchors`` is array<struct<kind: string, value: string, priority: int>>; the least priority counts."""
-    each = rows.select(company, F.col(order).alias("_i"), F.explode(anchors).alias("_x")).select(company, "_i", "_x.*")
-    left, right = each.withColumnRenamed("_i", "a"), each.withColumnRenamed("_i", "b").drop("priority")
-    pairs = left.join(right, [company, "kind", "value"]).where("a < b")
+def match_pairs(rows: DataFrame, company: str, order: str, source: str, external_id: str, anchors: str) -> DataFrame:
+    """company, a, b, priority: pairs of one company's rows that match, by equi-joins.
+
+    Rows of one source match by their external id only (priority 0); anchors count across different sources. ``anchors`` is
+    array<struct<kind: string, value: string, priority: int>>; the least priority counts.
+    """
+    keyed = rows.select(company, F.col(order).alias("_i"), F.col(source).alias("_s"), F.col(external_id).alias("_e"), anchors)
+    own = keyed.where(F.col("_e").isNotNull()).select(company, "_i", "_s", F.lit("external id").alias("kind"), F.to_json(F.struct("_s", "_e")).alias("value"), F.lit(0).alias("priority"))
+    each = own.unionByName(keyed.select(company, "_i", "_s", F.explode(anchors).alias("_x")).select(company, "_i", "_s", "_x.*"))
+    left, right = each.withColumnsRenamed({"_i": "a", "_s": "_sa"}), each.withColumnsRenamed({"_i": "b", "_s": "_sb"}).drop("priority")
+    pairs = left.join(right, [company, "kind", "value"]).where("a < b AND (priority = 0 OR _sa <> _sb)")
     return pairs.groupBy(company, "a", "b").agg(F.min("priority").alias("priority"))
 
 
@@ -39,3 +45,9 @@ def complete_linkage(rows: DataFrame, company: str, order: str, pairs: DataFrame
     kinds = dict(rows.dtypes)
     found = pairs.groupBy(company).applyInPandas(merge, f"{company} {kinds[company]}, {order} {kinds[order]}, cluster {kinds[order]}")
     return rows.join(found, [company, order], "left").withColumn("cluster", F.coalesce("cluster", order))
+
+
+def representative(variants: DataFrame, cluster: str, managed: str, rank: str, ties: list[str]) -> DataFrame:
+    """One row of each cluster: a managed one first, then by rank, then by ``ties``. One aggregation, combined before the shuffle."""
+    first = F.struct(F.when(F.col(managed), 0).otherwise(1), rank, *ties)
+    return variants.groupBy(cluster).agg(F.min_by(F.struct("*"), first).alias("_row")).select("_row.*")

@@ -36,28 +36,34 @@ def surviving_claims(companies: DataFrame, key: str, name: str, website: str) ->
 
 
 def resolve(candidates: DataFrame, companies: DataFrame) -> DataFrame:
-    """candidates (candidate_id, name, domain) with company_id and resolution.
+    """candidates (candidate_id, name, domain) with company_id and resolution. Fails closed: only a name and a domain that agree resolve.
 
-    A company is found by normalized name and by domain (equal, or a subdomain: equi-joins on exploded suffixes, no comparison of all pairs).
-    Both must agree, or one must find nothing; several companies, or two that differ, resolve to none (``ambiguous``, ``conflict``).
+    ``existing_exact_name``: one company has the name, and the domains are compatible. ``ambiguous_name``: several have it, or
+    one that no domain corroborates. ``identity_conflict``: the name's company has another domain, or the domain's company another name.
+    ``ambiguous_domain``: no company has the name, several the domain. ``new_company_domain_candidate``: neither is known. ``unresolved_no_domain``: the name is not, and there is no domain.
+    Companies are found by equi-joins, by name and by exploded domain suffixes in both directions; only counts and one company a candidate travel on.
     """
-    known = companies.select("company_id", text.normalize_company_name(F.col("name")).alias("_name"), F.lower("domain").alias("_domain"))
-    rows = candidates.withColumn("_name", text.normalize_company_name(F.col("name"))).withColumn("_d", F.lower("domain"))
-    by_name = rows.join(known.select("_name", "company_id"), "_name").groupBy("candidate_id").agg(F.collect_set("company_id").alias("by_name"))
-    suffixes = rows.where(F.col("_d").isNotNull()).select("candidate_id", F.explode(urls.domain_suffixes(F.col("_d"))).alias("_domain"))
-    by_domain = suffixes.join(known.where(F.col("_domain").isNotNull()).select("_domain", "company_id"), "_domain").groupBy("candidate_id").agg(F.collect_set("company_id").alias("by_domain"))
-    out = rows.join(by_name, "candidate_id", "left").join(by_domain, "candidate_id", "left")
-    names, domains = F.coalesce(F.size("by_name"), F.lit(0)), F.coalesce(F.size("by_domain"), F.lit(0))
-    names, domains = F.when(F.col("by_name").isNull(), 0).otherwise(names), F.when(F.col("by_domain").isNull(), 0).otherwise(domains)
-    a, b = F.col("by_name")[0], F.col("by_domain")[0]
+    known = companies.select("company_id", F.lower(text.collapse(F.col("name"))).alias("_name"), urls.identity_domain(F.col("domain")).alias("_domain"))
+    rows = candidates.select("candidate_id", F.lower(text.collapse(F.col("name"))).alias("_name"), urls.identity_domain(F.col("domain")).alias("_d"))
+    names = known.groupBy("_name").agg(F.count(F.lit(1)).alias("_names"), F.min("company_id").alias("_id"), F.min("_domain").alias("_stored"))
+    out = rows.join(names, "_name", "left")
+    with_domain = rows.where(F.col("_d").isNotNull())
+    below = with_domain.select("candidate_id", F.explode(urls.domain_suffixes(F.col("_d"), 1)).alias("_domain"))
+    stored = known.where(F.col("_domain").isNotNull())
+    above = stored.select(F.explode(urls.domain_suffixes(F.col("_domain"), 1)).alias("_d"), "company_id", "_domain").where("_d <> _domain").groupBy("_d").agg(F.count_distinct("company_id").alias("n"))
+    exact = stored.groupBy("_domain").agg(F.count(F.lit(1)).alias("n"))
+    found = below.join(exact, "_domain").select("candidate_id", "n").union(with_domain.join(above, "_d").select("candidate_id", "n"))
+    out = out.join(found.groupBy("candidate_id").agg(F.sum("n").alias("_domains")), "candidate_id", "left")
+    corroborated = F.col("_d").isNotNull() & F.col("_stored").isNotNull()
     how = (
-        F.when((names > 1) | (domains > 1), "ambiguous")
-        .when((names == 1) & (domains == 1) & (a != b), "conflict")
-        .when((names == 1) & (domains == 1), "name_and_domain")
-        .when(domains == 1, "domain")
-        .when(names == 1, "name")
-        .otherwise("new")
+        F.when(F.col("_names") > 1, "ambiguous_name")
+        .when((F.col("_names") == 1) & ~corroborated, "ambiguous_name")
+        .when((F.col("_names") == 1) & urls.domains_compatible(F.col("_d"), F.col("_stored")), "existing_exact_name")
+        .when(F.col("_names") == 1, "identity_conflict")
+        .when(F.col("_d").isNull(), "unresolved_no_domain")
+        .when(F.col("_domains") > 1, "ambiguous_domain")
+        .when(F.col("_domains") == 1, "identity_conflict")
+        .otherwise("new_company_domain_candidate")
     )
-    out = out.withColumn("resolution", how)
-    found = F.when(F.col("resolution").isin("name_and_domain", "domain"), b).when(F.col("resolution") == "name", a)
-    return out.withColumn("company_id", found).select(*candidates.columns, "company_id", "resolution")
+    out = out.select("candidate_id", how.alias("resolution"), F.when(how == "existing_exact_name", F.col("_id")).alias("company_id"))
+    return candidates.join(out, "candidate_id").select(*candidates.columns, "company_id", "resolution")

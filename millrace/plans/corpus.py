@@ -14,8 +14,13 @@ _PARTS = r"""
 WITH u AS (
     SELECT page_id, url, lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) AS scheme, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)) AS host,
            regexp_extract(url, '^[a-zA-Z]+://[^/?#]+(/[^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS query FROM pages
-), q AS (SELECT *, list_filter(string_split(query, '&'), lambda p : p <> '') AS items FROM u)
+), q AS (
+    SELECT *, CASE WHEN regexp_replace(path, '/+$', '') = '' THEN '/' ELSE regexp_replace(path, '/+$', '') END AS trimmed,
+           list_transform(list_filter(string_split(query, '&'), lambda p : p <> ''), lambda p : {
+               'k': url_decode(replace(regexp_extract(p, '^([^=]*)', 1), '+', ' ')), 'v': url_decode(replace(regexp_extract(p, '^[^=]*=?(.*)$', 1), '+', ' '))}) AS items FROM u
+)
 """
+_JOINED = "array_to_string(list_transform(list_sort({0}), lambda p : concat(replace(url_encode(p.k), '%20', '+'), '=', replace(url_encode(p.v), '%20', '+'))), '&')"
 
 
 @query(_PARTS + r"""
@@ -26,19 +31,19 @@ def host_token_rollup(spark, sf):
     return pages.groupBy("host", "token").agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("example"), F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id"))
 
 
-@query(_PARTS + r"""
-SELECT page_id, concat(scheme, '://', host, regexp_replace(path, '/+$', ''), CASE WHEN len(items) > 0 THEN concat('?', array_to_string(list_sort(items), '&')) ELSE '' END) AS work_url FROM q
+@query(_PARTS + f"""
+SELECT page_id, concat(scheme, '://', host, trimmed, CASE WHEN len(items) > 0 THEN concat('?', {_JOINED.format('items')}) ELSE '' END) AS work_url FROM q
 """)
 def url_normalize_work(spark, sf):
     return load(spark, sf, "pages").select("page_id", urls.normalize_work_url(F.col("url")).alias("work_url"))
 
 
-@query(_PARTS + r"""
+@query(_PARTS + rf"""
 , n AS (
-    SELECT page_id, url, list_sort(list_filter(items, lambda p : NOT regexp_matches(lower(split_part(p, '=', 1)), '^(utm_.*|gh_src|ref|referrer|source)$'))) AS kept,
-           concat('https://', regexp_replace(host, '^www\.', ''), regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '/+$', '')) AS base FROM q
+    SELECT page_id, url, list_filter(items, lambda p : NOT regexp_matches(lower(p.k), '^(utm_.*|gh_src|ref|referrer|source)$')) AS kept,
+           concat('https://', regexp_replace(host, '^www\.', ''), regexp_replace(trimmed, '/{{2,}}', '/', 'g')) AS base FROM q
 )
-SELECT concat(base, CASE WHEN len(kept) > 0 THEN concat('?', array_to_string(kept, '&')) ELSE '' END) AS job_url, count(*) AS n, min(page_id) AS first_id, max(page_id) AS last_id FROM n GROUP BY 1
+SELECT concat(base, CASE WHEN len(kept) > 0 THEN concat('?', {_JOINED.format('kept')}) ELSE '' END) AS job_url, count(*) AS n, min(page_id) AS first_id, max(page_id) AS last_id FROM n GROUP BY 1
 """)
 def url_dedupe_global(spark, sf):
     rows = load(spark, sf, "pages").select("page_id", urls.normalize_job_url(F.col("url")).alias("job_url"))

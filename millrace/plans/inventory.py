@@ -92,9 +92,7 @@ FROM gaps GROUP BY user_id
 """)
 def two_miss_lifecycle(spark, sf):
     seen = load(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"))
-    last = seen.agg(F.max("day").alias("_last_day"))
-    seen = seen.distinct().crossJoin(F.broadcast(last))  # one row
-    history = lifecycle.presence_history(seen.select("user_id", "day"), "user_id", "day", F.lit(last.first()[0]))
+    history = lifecycle.presence_history(seen.distinct(), "user_id", "day", seen.agg(F.max("day")).scalar())
     return history.withColumns({c: F.col(c).cast("string") for c in ("first_day", "last_day")})
 
 

@@ -257,8 +257,9 @@ def greedy_quota_select(spark, sf):
 def complete_linkage_clusters(spark, sf):
     part = load(spark, sf, "part").select("p_brand", "p_partkey", "p_name", "p_type", "p_size")
     anchors = F.array(
-        F.struct(F.lit("name").alias("kind"), F.concat_ws("|", "p_name", "p_type").alias("value"), F.lit(0).alias("priority")),
-        F.struct(F.lit("shape").alias("kind"), F.concat_ws("|", "p_type", "p_size").alias("value"), F.lit(1).alias("priority")),
+        F.struct(F.lit("name").alias("kind"), F.col("p_name").alias("value"), F.lit(1).alias("priority")),
+        F.struct(F.lit("shape").alias("kind"), F.concat_ws("|", F.substring("p_name", 1, 5), "p_size").alias("value"), F.lit(2).alias("priority")),
     )
-    pairs = clustering.match_pairs(part.withColumn("anchors", anchors), "p_brand", "p_partkey", "anchors")
+    rows = part.withColumns({"external_id": F.col("p_size").cast("string"), "anchors": anchors})
+    pairs = clustering.match_pairs(rows, "p_brand", "p_partkey", "p_type", "external_id", "anchors")
     return clustering.complete_linkage(part, "p_brand", "p_partkey", pairs)

@@ -237,10 +237,40 @@ def test_role_families(spark):
 
 class TestClusters:
     def run(self, spark, rows):
-        frame = spark.createDataFrame([("c", i, [("k", a, 0) for a in anchors]) for i, anchors in enumerate(rows)], "company string, i int, anchors array<struct<kind: string, value: string, priority: int>>")
-        pairs = clustering.match_pairs(frame, "company", "i", "anchors")
+        rows = [r if isinstance(r, tuple) else (f"s{i}", None, r) for i, r in enumerate(rows)]
+        kind = "company string, i int, source string, ext string, anchors array<struct<kind: string, value: string, priority: int>>"
+        frame = spark.createDataFrame([("c", i, s, e, [("k", a, 1) for a in anchors]) for i, (s, e, anchors) in enumerate(rows)], kind)
+        pairs = clustering.match_pairs(frame, "company", "i", "source", "ext", "anchors")
         return {r.i: r.cluster for r in clustering.complete_linkage(frame, "company", "i", pairs).collect()}
 
+    def test_rows_of_one_source_match_by_external_id_only(self, spark):
+        assert self.run(spark, [("a", "1", ["x"]), ("a", "2", ["x"]), ("b", "1", ["x"]), ("a", "2", []), ("c", None, [])]) == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4}
+
+    def test_against_plain_loop(self, spark):
+        import random
+
+        rng = random.Random(6)
+        rows = [(rng.choice("abc"), rng.choice([None, "1", "2", "3"]), rng.sample("pqrstu", rng.randint(0, 2))) for _ in range(60)]
+
+        def match(x, y):
+            if x[0] == y[0]:
+                return 0 if x[1] == y[1] and x[1] is not None else None
+            return 1 if set(x[2]) & set(y[2]) else None
+
+        of = {i: {i} for i in range(len(rows))}
+        edges = sorted((match(rows[i], rows[j]), i, j) for i in of for j in of if i < j and match(rows[i], rows[j]) is not None)
+        for _, i, j in edges:
+            if of[i] is not of[j] and all(match(rows[x], rows[y]) is not None for x in of[i] for y in of[j]):
+                of[i] |= of[j]
+                for x in of[j]:
+                    of[x] = of[i]
+        assert self.run(spark, rows) == {i: min(c) for i, c in of.items()}
+
+    def test_representative(self, spark):
+        rows = [("c1", False, 0, "p", "1"), ("c1", True, 5, "q", "9"), ("c1", True, 5, "q", "2"), ("c2", False, 3, "b", "1"), ("c2", False, 3, "a", "7")]
+        frame = spark.createDataFrame(rows, "cluster string, managed boolean, remote int, provider string, ext string")
+        assert sorted(map(tuple, clustering.representative(frame, "cluster", "managed", "remote", ["provider", "ext"]).collect())) == [rows[2], rows[4]]
+
     def test_chain_is_not_one_cluster(self, spark):
         assert self.run(spark, [["x"], ["x", "y"], ["y"], []]) == {0: 0, 1: 0, 2: 2, 3: 3}
 
@@ -281,9 +311,21 @@ class TestIdentity:
 
     def test_resolve(self, spark):
         companies = spark.createDataFrame([(1, "Acme  Co", "acme.example"), (2, "Beta", "beta.example"), (3, "Beta", None)], "company_id int, name string, domain string")
-        rows = [(1, "acme co", "jobs.acme.example"), (2, "Other", "acme.example"), (3, "ACME CO", None), (4, "acme co", "beta.example"), (5, "beta", None), (6, "new", "new.example"), (7, "new", "notacme.example")]
+        rows = [(1, "acme co", "jobs.acme.example"), (2, "Other", "acme.example"), (3, "ACME CO", None), (4, "acme co", "beta.example"), (5, "beta", "beta.example"), (6, "new", "new.example")]
+        rows += [(7, "new", "notacme.example"), (8, "new", None), (9, "Acme Co", "https://www.eu.acme.example/x"), (10, "new", "example")]
         got = {r.candidate_id: (r.company_id, r.resolution) for r in identity.resolve(spark.createDataFrame(rows, "candidate_id int, name string, domain string"), companies).collect()}
-        assert got == {1: (1, "name_and_domain"), 2: (1, "domain"), 3: (1, "name"), 4: (None, "conflict"), 5: (None, "ambiguous"), 6: (None, "new"), 7: (None, "new")}
+        assert got == {
+            1: (1, "existing_exact_name"),
+            2: (None, "identity_conflict"),
+            3: (None, "ambiguous_name"),
+            4: (None, "identity_conflict"),
+            5: (None, "ambiguous_name"),
+            6: (None, "new_company_domain_candidate"),
+            7: (None, "new_company_domain_candidate"),
+            8: (None, "unresolved_no_domain"),
+            9: (1, "existing_exact_name"),
+            10: (None, "ambiguous_domain"),
+        }
 
     def test_claims(self, spark):
         rows = [(1, "Acme Inc", "https://www.acme.example/x"), (2, "Other", "acme.example"), (3, "Solo", "solo.example"), (4, "A", "shared.example"), (5, "B", "shared.example"), (6, "None", None)]
@@ -296,11 +338,35 @@ class TestFunctions:
         url = F.col("v")
         cases = {
             "HTTP://www.A.example:80/x//y/?utm_source=q&b=2&a=1#z": ("http://www.a.example/x//y?a=1&b=2&utm_source=q", "https://a.example/x/y?a=1&b=2", "http://www.a.example/x//y/?utm_source=q&b=2&a=1"),
-            "https://user@a.example/": (None, "https://a.example", None),
-            "https://a.example:8443/": ("https://a.example:8443", "https://a.example:8443", None),
+            "https://user@a.example/": (None, "https://a.example/", None),
+            "https://a.example:8443/": ("https://a.example:8443/", "https://a.example:8443/", None),
+            "https://a.example.:80//": ("https://a.example.:80/", "https://a.example/", "https://a.example:80//"),
+            "http://a.example?b=%41+c&b&a=~*": ("http://a.example/?a=~%2A&b=&b=A+c", "https://a.example/?a=~%2A&b=&b=A+c", "http://a.example/?b=%41+c&b&a=~*"),
             "http://10.0.0.1/x": (None, "https://10.0.0.1/x", None),
+            "http://100.64.0.1/x": (None, "https://100.64.0.1/x", None),
+            "http://8.8.8.8/": ("http://8.8.8.8/", "https://8.8.8.8/", "http://8.8.8.8/"),
+            "http://10.example.com/": ("http://10.example.com/", "https://10.example.com/", "http://10.example.com/"),
+            "http://intranet/x": ("http://intranet/x", "https://intranet/x", "http://intranet/x"),
+            "http://x.internal/": ("http://x.internal/", "https://x.internal/", None),
+            "http://h.localhost/": (None, "https://h.localhost/", None),
+            "http://[2606:4700::1111]/a": ("http://[2606:4700::1111]/a", "https://[2606:4700::1111]/a", "http://[2606:4700::1111]/a"),
+            "http://[fe80::1]/": (None, "https://[fe80::1]/", None),
+            "http://a.example:99999/": (None, None, None),
             "nonsense": (None, None, None),
         }
+        api, boards = "api.board.example", ["board.example"]
+        tokens = {
+            "https://board.example/Acme/jobs/1": "acme",
+            "https://api.board.example/v1/boards/acme-2/jobs": "acme-2",
+            "https://board.example/embed/job_board?for=acme": "acme",
+            "https://board.example/embed/job_board?for=a&for=b": None,
+            "https://board.example/embed/other?for=a": None,
+            "https://other.example/acme": None,
+            "https://u@board.example/acme": None,
+            "https://board.example/a%2Fb": None,
+            "https://board.example/": None,
+        }
+        assert one(spark, urls.board_token(url, api, boards), *tokens) == list(tokens.values())
         for f, k in ((urls.normalize_work_url, 0), (urls.normalize_job_url, 1), (urls.normalize_public_url, 2)):
             assert one(spark, f(url), *cases) == [c[k] for c in cases.values()]
         assert one(spark, urls.parameter(url, "for"), "https://x.example/?for=a%20b&x=1", "https://x.example/?xfor=1") == ["a b", None]

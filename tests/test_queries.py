@@ -51,13 +51,30 @@ def test_greedy_quota_select(spark, sf):
 
 def test_complete_linkage_clusters(spark, sf):
     rows = catalog.queries()["complete_linkage_clusters"](spark, sf).collect()
-    by = {}
+
+    def match(x, y):
+        if x.p_type == y.p_type:
+            return 0 if x.p_size == y.p_size else None
+        if x.p_name == y.p_name:
+            return 1
+        return 2 if (x.p_name[:5], x.p_size) == (y.p_name[:5], y.p_size) else None
+
+    want, brands = {}, {}
     for r in rows:
-        by.setdefault((r.p_brand, r.cluster), []).append(r)
-    for group in by.values():  # all pairs of a cluster share an anchor
-        for a in group:
-            for b in group:
-                assert (a.p_name, a.p_type) == (b.p_name, b.p_type) or (a.p_type, a.p_size) == (b.p_type, b.p_size)
+        brands.setdefault(r.p_brand, []).append(r)
+    for group in brands.values():
+        by = {r.p_partkey: r for r in group}
+        of = {k: {k} for k in by}
+        edges = sorted((m, i, j) for i in by for j in by if i < j and (m := match(by[i], by[j])) is not None)
+        matched = {(i, j) for _, i, j in edges}
+        for _, i, j in edges:
+            if of[i] is not of[j] and all((min(x, y), max(x, y)) in matched for x in of[i] for y in of[j]):
+                of[i] |= of[j]
+                for x in of[j]:
+                    of[x] = of[i]
+        want |= {k: min(c) for k, c in of.items()}
+    assert {r.p_partkey: r.cluster for r in rows} == want
+    assert len(set(want.values())) < len(want)
 
 
 def test_stream_resumes(spark, sf, tmp_path):
