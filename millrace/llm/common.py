@@ -20,9 +20,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset (tests), below a temporary folder set for the session."""
+    """A new folder below ``spark.checkpoint.dir``. Where that is unset, a local master (tests) gets a temporary folder; a cluster is an error, since its machines do not share one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="spark-millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
