@@ -250,7 +250,8 @@ def _run(docs: DataFrame, whole: bool) -> DataFrame:
     if whole:
         row = [chosen.schema["_row"]]
     prepared = StructType([*row, *_fields("doc_id long, ord long, n_words long, sha binary, body binary")])
-    base = chosen.mapInArrow(_prepare, prepared)
+    # No place is null; said here, or tests for null are pushed below some of the exchanges of ``texts`` and not below others, and they differ.
+    base = chosen.mapInArrow(_prepare, prepared).where("ord IS NOT NULL")
 
     versions = cut(docs.select(order, F.col("text").cast("binary").alias("text")).mapInArrow(_digests, "ord long, sha binary").distinct(), "digests")
     # Written, so that the join has two bare exchanges and adaptive execution can split a text that very many documents share.
