@@ -160,3 +160,32 @@ def primary_domain(website: Column) -> Column:
     """Host of a website without www.; also reads a bare domain."""
     full = F.when(website.rlike("^(?i)https?://"), website).otherwise(F.concat(F.lit("https://"), website))
     return F.nullif(F.regexp_replace(host(full), r"^www\.", ""), F.lit(""))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, with . and .. segments resolved."""
+
+    def step(seen, segment):
+        return F.when(segment == ".", seen).when(segment == "..", F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(1)))).otherwise(F.array_append(seen, segment))
+
+    return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+
+
+def resolve_href(base: Column, href: Column) -> Column:
+    """The http(s) URL that a link on a page leads to, without fragment, parameters of the last segment and last slashes (the root stays); null for anchors, mail, phone and scripts."""
+    link = F.regexp_replace(F.trim(href), "#.*$", "")
+    site, path = F.regexp_extract(base, "^(?i:https?)://[^/?#]*", 0), F.regexp_extract(base, "^[a-zA-Z]+://[^/?#]*([^?#]*)", 1)
+    folder = F.concat(F.lit("/"), F.regexp_extract(path, "^/(.*/)", 1))
+    asked, own = F.regexp_extract(link, r"\?.*$", 0), F.regexp_replace(link, r"\?.*$", "")
+    full = (
+        F.when(link.rlike("^(?i:https?)://"), link)
+        .when(link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), None)
+        .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, "^[a-zA-Z]+:", 0), link))
+        .when(F.startswith(link, F.lit("/")), F.concat(site, _without_dots(own), asked))
+        .when(own == "", F.concat(site, path, asked))
+        .otherwise(F.concat(site, _without_dots(F.regexp_replace(F.concat(folder, own), "/{2,}", "/")), asked))
+    )
+    name, place = F.regexp_extract(full, "^[a-zA-Z]+://([^/?]*)", 1), F.regexp_extract(full, r"^[a-zA-Z]+://[^/?]*([^?]*)", 1)
+    query = F.regexp_extract(full, r"\?(.+)$", 0)
+    out = F.concat(F.lower(F.regexp_extract(full, "^([a-zA-Z]+)://", 1)), F.lit("://"), name, _trimmed_path(F.regexp_replace(place, ";[^/]*$", "")), query)
+    return F.when((link != "") & (site != "") & (name != ""), out)
