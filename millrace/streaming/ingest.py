@@ -11,9 +11,11 @@ from millrace.sources.tables import SCHEMAS
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Below ``spark.checkpoint.dir``, which all machines share; a temporary folder where that is unset (tests)."""
+    """Below ``spark.checkpoint.dir``, which all machines share. Where that is unset, a local master (tests) gets a temporary folder; a cluster is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="spark-millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
