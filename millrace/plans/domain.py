@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import urls
-from millrace.operators import clustering, identity, metrics, pool, records
+from millrace.operators import clustering, eligibility, identity, metrics, pool, records
 from millrace.sources.tables import load
 
 from .registry import query
@@ -271,3 +271,32 @@ def complete_keys_union(spark, sf):
 def first_seen_order(spark, sf):
     first = load(spark, sf, "events").groupBy("user_id", "event_type").agg(F.min(F.to_date("ts")).cast("string").alias("first_day"))
     return first.groupBy("event_type", "first_day").agg(F.count(F.lit(1)).alias("keys"))
+
+
+PLACES = ["Remote", "Worldwide - Remote", "Remote - Canada", "Berlin, Germany", "Remote - APAC", "Remote, Pakistan", ""]
+TEXTS = [
+    "We build software.",
+    "Work from anywhere in the world.",
+    "This role is on-site.",
+    "Applicants must be authorized to work in the United States.",
+    "This is a fully remote role.",
+    "Preferred: U.S. citizenship required.",
+    "Candidates based in India may apply.",
+    "Our hours overlap with UTC+2 teams.",
+]
+TITLES = ["Software Engineer", "Backend Engineer (US only)", "Engineer, Remote"]
+
+
+@query("""
+WITH k AS (SELECT o_orderkey, o_orderkey % 7 AS place, (o_orderkey // 7) % 8 AS said, (o_orderkey // 56) % 3 AS title FROM orders),
+s AS (SELECT *, place IN (0, 1, 2, 4, 5) OR title = 2 OR said IN (1, 4) AS signal FROM k)
+SELECT o_orderkey, CASE WHEN said = 3 AND signal THEN 'restricted_remote' WHEN title = 1 AND signal THEN 'restricted_remote' WHEN said = 2 THEN 'onsite_explicit'
+    WHEN place = 2 THEN 'restricted_remote' WHEN signal AND said = 6 THEN 'restricted_remote' WHEN place = 1 AND said = 7 THEN 'regional_unconfirmed'
+    WHEN signal AND place = 3 THEN 'restricted_remote' WHEN place = 5 THEN 'pakistan_explicit' WHEN place = 1 THEN 'global_explicit'
+    WHEN signal AND (place = 4 OR said = 7) THEN 'regional_unconfirmed' WHEN said = 1 THEN 'global_explicit' WHEN signal THEN 'remote_unclear' ELSE 'no_remote_evidence' END AS remote_eligibility_status FROM s
+""")
+def remote_eligibility(spark, sf):
+    key = F.col("o_orderkey")
+    pick = lambda of, by: F.element_at(F.array(*map(F.lit, of)), (by % len(of) + 1).cast("int"))
+    jobs = load(spark, sf, "orders").select("o_orderkey", pick(PLACES, key).alias("place"), pick(TEXTS, F.floor(key / 7)).alias("said"), pick(TITLES, F.floor(key / 56)).alias("title"))
+    return eligibility.classify(jobs, F.col("title"), F.col("place"), F.col("said")).select("o_orderkey", eligibility.STATUS)
