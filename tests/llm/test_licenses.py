@@ -1,6 +1,8 @@
 """License scans: planted notices are found with their spans; alignment against a full table."""
 
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -57,6 +59,29 @@ def test_edited_text_and_no_false_hits():
     assert index.scan([]) == index.scan([b"the"]) == []
 
 
+def test_unbroken():
+    for n in range(1, 13):
+        left = next(k for k in range(n + 1) if k >= licenses.COVERAGE * n)
+        worst = min(max(map(len, "".join("0" if k in lost else "1" for k in range(n)).split("0"))) for lost in itertools.combinations(range(n), n - left))
+        assert licenses.unbroken(n) == worst
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_edited_short_notices(name):
+    """A short notice is found with any one of its other words changed (where 0.8 of them are left), as if every template were aligned everywhere; not with a telling word changed."""
+    index, noise = licenses.Index(), [b"bdfgk"] * 20
+    for text in TEMPLATES[name]:
+        own = words(text)
+        telling = {w for w in own if w.decode() in licenses.TELLING.union(re.findall("[0-9a-z]+", name.lower()))}
+        for k in range(len(own) if 5 <= len(own) <= licenses.SHORT else 0):
+            edited = noise + own[:k] + [b"changed"] + own[k + 1 :] + noise
+            found = [m for m in index.scan(edited) if m[2] >= len(own) - 1]
+            if own[k] not in telling:
+                assert name in {m[0] for m in found}, (text, own[k])
+            elif own.count(own[k]) == 1:
+                assert (len(own) - 1) not in {m[2] for m in found if m[0] == name and m[1] < 1}, (text, own[k])
+
+
 def test_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     lines = {
