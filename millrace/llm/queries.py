@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, packing, quality, sentencepiece_codec, sharding, simhash, substring_dedup, token_files, warc
+from . import alignment, exact_dedup, hard_negatives, licenses, minhash, packing, quality, sentencepiece_codec, sharding, simhash, substring_dedup, token_files, warc
 from .common import read
 
 
@@ -48,6 +48,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.assign(read(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -60,4 +72,7 @@ def all_queries() -> dict:
         "op8_licenses": op8_licenses,
         "op9_token_files": op9_token_files,
         "op10_sharding": op10_sharding,
+        "op11_minhash": op11_minhash,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_alignment": op13_alignment,
     }
