@@ -26,8 +26,9 @@ names, are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections import OrderedDict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,9 @@ MARK = "▁"
 #: Units that a worker remembers.
 MEMO_UNITS = 250_000
 #: Bytes of text that are worked on at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+#: Units that are encoded in one call.
+CALL_UNITS = 500
 SEGMENT_PAIRS = 1 << 17
 GAMMA = 2
 FAN_IN = 16
@@ -57,6 +60,10 @@ CACHE_PAIRS = 6_000_000
 SLICE_LINKS = 1 << 21
 _WHITE = r"\s\x0b\x1c-\x1f\x85\p{Z}"  # every character that any of the libraries takes for white space
 _CUT = regex.compile(rf"(?<=[^{_WHITE}])(?= [^{_WHITE}])")
+#: A unit that begins and ends as a word does.
+_PLAIN = regex.compile(rf" [^{_WHITE}](?s:.*[^{_WHITE}])?")
+#: The pattern that a byte-level pre-tokeniser of this kind has.
+PRE_TOKEN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _WHITE_RE2 = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 #: A space beside white space, or at the end; in texts without it every space but the first character is a place to cut at.
 _UNEVEN = rf"{_WHITE_RE2} | {_WHITE_RE2}| \z"
@@ -114,26 +121,36 @@ def unicode_bytes() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
 
 
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """The bytes of a byte-level BPE file's tokens by id, if each merge's token has the next id, so that a lower id is an earlier merge."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    byte_of, vocabulary = unicode_bytes(), model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(vocabulary.get(a + b) != 256 + k for k, (a, b) in enumerate(pairs)):
+        return None
+    made = [*byte_of, *(a + b for a, b in pairs)]
+    return {bytes(byte_of[c] for c in token): vocabulary[token] for token in made}
+
+
 class Tokens:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, and the bytes of their tokens. Of A the vocabulary is read from its file, and its merges are made by ``tiktoken``, whose ids are those of ``tokenizers`` and come as arrays."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        if not bpe.cuttable(path_a):
-            raise ValueError("the first tokenizer is not of the kind whose words begin at a space")
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their strings inside texts are plain text
+        ranks = merge_ranks(path_a) if bpe.cuttable(path_a) else None
+        if ranks is None:
+            raise ValueError("the first tokenizer is not a byte-level BPE whose words begin at a space")
+        self.a = tiktoken.Encoding("a", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("the second tokenizer has pieces that run across words")
-        byte_of, added = unicode_bytes(), self.a.get_added_tokens_decoder()
-        self.bytes_a = [b""] * self.a.get_vocab_size()
-        for token, k in self.a.get_vocab().items():
-            self.bytes_a[k] = token.encode() if k in added else bytes(byte_of[c] for c in token)
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for token, k in ranks.items():
+            self.bytes_a[k] = token
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(k) else p.replace(MARK, " ").encode() for k, p in enumerate(pieces)]
         self.lengths_a = np.array([len(x) for x in self.bytes_a])
         self.lengths_b = np.array([len(x) for x in self.bytes_b])
@@ -141,19 +158,56 @@ class Tokens:
         self.digits = Runs(np.uint8)
         self.digits.add(np.frombuffer(b"".join(digits), np.uint8), np.array([len(d) for d in digits]))
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of units, each of which starts with a space; B adds that space itself."""
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        return a, self.b.encode([u[1:] for u in units], num_threads=1)
-
-
-def cut_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The units of texts (strings that start with a space), one after another, and the edges of each text's."""
+    def encode(self, units: list[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of units, one after another, and how many each unit has. Units start with a space, which B adds itself.
+
+        Units that begin and end as a word does (all, if ``plain``) are encoded together, as if they followed each other in a text; the others alone.
+        """
+        alike = [plain or bool(_PLAIN.fullmatch(u)) for u in units]
+        runs = [[k] for k, ok in enumerate(alike) if not ok]
+        many = [k for k, ok in enumerate(alike) if ok]
+        runs += [many[k : k + CALL_UNITS] for k in range(0, len(many), CALL_UNITS)]
+        sizes = np.array([len(u.encode()) for u in units], np.int64)
+        a, b = self._encode(units, runs)
+        # Where a run's tokens are not its bytes, as where U+2581 itself stands in it, its units cannot be told apart by bytes.
+        bad = [k for k, run in enumerate(runs) if len(run) > 1 and not self.lengths_a[a[k]].sum() == self.lengths_b[b[k]].sum() == sizes[run].sum()]
+        if bad:
+            alone = [[k] for at in bad for k in runs[at]]
+            more_a, more_b = self._encode(units, alone)
+            runs, a, b = ([x for k, x in enumerate(own) if k not in set(bad)] + more for own, more in ((runs, alone), (a, more_a), (b, more_b)))
+        order, out = np.fromiter(chain.from_iterable(runs), np.int64, len(units)), []
+        single = np.array([len(run) == 1 for run in runs])
+        for found, lengths in ((a, self.lengths_a), (b, self.lengths_b)):
+            counts = np.array(list(map(len, found)), np.int64)
+            ids = np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64)
+            # In a run each unit's tokens end at its last byte; a unit alone has all of its run.
+            edges = np.concatenate([[0], np.cumsum(lengths[ids])])
+            starts = edges[np.cumsum(counts) - counts]
+            within = [np.array([n]) if alone else np.searchsorted(edges, at + np.cumsum(sizes[run]), "left") - first for n, alone, at, run, first in zip(counts, single, starts, runs, np.cumsum(counts) - counts)]
+            out += [ids, np.concatenate([np.zeros(0, np.int64), *(np.diff(np.concatenate([[0], w])) for w in within)]).astype(np.int64)]
+        back = np.argsort(order)
+        return *_reordered(out[0], out[1], back), *_reordered(out[2], out[3], back)
+
+    def _encode(self, units: list[str], runs: list[list[int]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        texts = ["".join(map(units.__getitem__, run)) for run in runs]
+        a = [self.a.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        return a, [np.array(x, np.int64) for x in self.b.encode([t[1:] for t in texts], num_threads=1)]
+
+
+def _reordered(values: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values in another order."""
+    runs = Runs(values.dtype)
+    runs.add(values, sizes)
+    return runs.gather(order)
+
+
+def cut_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray, bool]:
+    """The units of texts (strings that start with a space), one after another, the edges of each text's, and whether all units begin and end as a word does."""
     if pc.any(pc.match_substring_regex(texts, _UNEVEN)).as_py():
         found = [_CUT.split(t) for t in texts.to_pylist()]
-        return pa.array([u for own in found for u in own], pa.large_string()), np.cumsum([0, *map(len, found)])
+        return pa.array([u for own in found for u in own], pa.large_string()), np.cumsum([0, *map(len, found)]), False
     split = pc.split_pattern(pc.utf8_slice_codeunits(texts, 1), " ")
-    return pc.binary_join_element_wise(_EMPTY, split.flatten(), _SPACE), split.offsets.to_numpy() - split.offsets[0].as_py()
+    return pc.binary_join_element_wise(_EMPTY, split.flatten(), _SPACE), split.offsets.to_numpy() - split.offsets[0].as_py(), True
 
 
 class Aligner:
@@ -167,7 +221,7 @@ class Aligner:
         self.memo: dict[str, int] = {}
         self.pairs: dict[int, int] = {}
         self.figures = Numbers(5)
-        self.links, self.often, self.texts = Runs(np.int64), Runs(np.int64), Runs(np.uint8)
+        self.links, self.often, self.texts = Runs(np.int32), Runs(np.int32), Runs(np.uint8)
 
         self.known: tuple[str, Known] | None = None
 
@@ -180,28 +234,29 @@ class Aligner:
     def full(self) -> bool:
         return len(self.memo) > self.memo_units
 
-    def numbers(self, units: pa.Array) -> np.ndarray:
+    def numbers(self, units: pa.Array, plain: bool = False) -> np.ndarray:
         """The units' numbers; learns those not there."""
         coded = units.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         found = list(map(self.memo.get, distinct))
         if None in found:
-            self._learn([u for u, x in zip(distinct, found) if x is None])
+            self._learn([u for u, x in zip(distinct, found) if x is None], plain)
             found = list(map(self.memo.__getitem__, distinct))
         return np.array(found, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
 
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: list[str], plain: bool) -> None:
         t = self.tokens
-        found_a, found_b = t.encode(units)
+        a, n_a, b, n_b = t.encode(units, plain)
         wanted = [u.encode() for u in units]
-        n_a, n_b = np.array(list(map(len, found_a))), np.array(list(map(len, found_b)))
-        a, b = (np.fromiter((x for own in found for x in own), np.int64) for found in (found_a, found_b))
-        if b"".join(map(t.bytes_a.__getitem__, a.tolist())) == (whole := b"".join(wanted)) == b"".join(map(t.bytes_b.__getitem__, b.tolist())):
-            sizes = np.array(list(map(len, wanted)))
-            ok = (sums(t.lengths_a[a][:, None], np.cumsum([0, *n_a]))[:, 0] == sizes) & (sums(t.lengths_b[b][:, None], np.cumsum([0, *n_b]))[:, 0] == sizes)
-        else:
-            ok = np.array([b"".join(map(t.bytes_a.__getitem__, x)) == u == b"".join(map(t.bytes_b.__getitem__, y)) for u, x, y in zip(wanted, found_a, found_b)])
-        del whole, wanted, found_a, found_b
+        sizes = np.array(list(map(len, wanted)), np.int64)
+        ok = (sums(t.lengths_a[a][:, None], np.cumsum([0, *n_a]))[:, 0] == sizes) & (sums(t.lengths_b[b][:, None], np.cumsum([0, *n_b]))[:, 0] == sizes)
+        whole = b"".join(wanted)
+        if not ok.all() or b"".join(map(t.bytes_a.__getitem__, a.tolist())) != whole or b"".join(map(t.bytes_b.__getitem__, b.tolist())) != whole:
+            at_a, at_b = np.cumsum([0, *n_a]), np.cumsum([0, *n_b])
+            for k, u in enumerate(wanted):
+                own_a, own_b = (b"".join(map(of.__getitem__, ids[at[k] : at[k + 1]].tolist())) for of, ids, at in ((t.bytes_a, a, at_a), (t.bytes_b, b, at_b)))
+                ok[k] = own_a == u == own_b
+        del whole, wanted
         a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
         n_a, n_b = np.where(ok, n_a, 0), np.where(ok, n_b, 0)
         ends_a, ends_b = np.cumsum(t.lengths_a[a]), np.cumsum(t.lengths_b[b])
@@ -218,8 +273,9 @@ class Aligner:
         pairs, often, per_group = self._links(a, b, group_a, group_b, len(ends))
         per_unit = np.zeros(len(units), np.int64)
         np.add.at(per_unit, group_unit, per_group)
-        numbered = np.fromiter((self.pairs.setdefault(p, len(self.pairs)) for p in pairs.tolist()), np.int64, len(pairs))
-        self.links.add(numbered, per_unit)
+        distinct, place = np.unique(pairs, return_inverse=True)
+        numbered = np.array([self.pairs.setdefault(p, len(self.pairs)) for p in distinct.tolist()], np.int64)
+        self.links.add(numbered[place], per_unit)
         self.often.add(often, per_unit)
         self.texts.add(*self._texts(a, b, group_a, group_b, in_a, in_b, group_unit, len(units)))
         self.memo.update(zip(units, range(len(self.memo), len(self.memo) + len(units))))
@@ -274,10 +330,10 @@ class Aligner:
             some = texts.slice(k, upto - k)
             there = pc.fill_null(pc.greater(pc.binary_length(some), 0), False)
             spaced = pc.binary_join_element_wise(_EMPTY, some.filter(there), _SPACE)
-            units, cuts = cut_units(spaced)
+            units, cuts, plain = cut_units(spaced)
             counts = np.zeros(len(some), np.int64)
             counts[there.to_numpy(zero_copy_only=False)] = np.diff(cuts)
-            yield k, self.numbers(units), np.concatenate([[0], np.cumsum(counts)])
+            yield k, self.numbers(units, plain), np.concatenate([[0], np.cumsum(counts)])
             k = upto
 
     def valid(self, numbers: np.ndarray, edges: np.ndarray) -> np.ndarray:
