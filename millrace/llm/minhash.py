@@ -2,21 +2,20 @@
 
 1. A text's set is its distinct five-word shingles, as 64-bit hashes. Texts with equal sets are one node; only nodes go on.
 2. ``MINIMA`` strongly universal hashes (a * x + b over 64 bits, upper half, x of 32 bits) each give their minimum over the set. ``ROWS`` minima
-   make a band, and a band's hash is a key. Two sets of similarity s share one of the 32 keys with probability 1 - (1 - s^6)^32:
-   0.9999997 at 0.85, 0.99994 at 0.8.
-3. The lowest bit of every minimum makes a sketch of three longs. Equal minima agree in it, others half the time. So sets of similarity s differ in
+   make a band, and a band's hash is a key. Two sets of similarity s share one of the ``BANDS`` keys with probability 1 - (1 - s^5)^20:
+   0.999992 at 0.85, 0.9996 at 0.8.
+3. The lowest bit of every minimum makes a sketch of two longs. Equal minima agree in it, others half the time. So sets of similarity s differ in
    (1 - s) / 2 of the bits, and a pair that differs in 5.5 standard deviations more than the limit would is left out; of pairs at the limit less than one in a million is.
 4. What is left is confirmed on the full sets: 100 * intersection >= percent * union, in integers.
 5. Confirmed pairs are links, and their components come from alternating large-star and small-star steps.
 
-No pairs are made inside a key. In each round some of a key's nodes are its pivots (one at first, twice as many in each later round): a pivot meets every other node of the key that
-another label has, and has then nothing more to learn there, so it leaves the key. After each round the links are joined up, nodes get their component as label, and
-keys whose nodes all have one label are done. A family of near copies is settled by its first pivots and costs no more than its size;
-a key with many unlike nodes takes more rounds until each has met all others. So every pair that shares a key is met, or joined
-up before; nothing is capped. The pivot is the node that shares the most, hence the same one in most of a family's keys.
+No pairs are made inside a key. Of each key's nodes that with the most and that with the least company are its pivots: a pivot meets every other node of the key that has another label, and has
+then nothing more to learn there. At first only ``FIRST`` bands are gone through, once. That settles most families of near copies: links are joined up, and a node gets its component as label.
+Then all bands are, but only keys whose nodes have several labels; a family that is one label by now costs no more. There the pivots leave a key when they have met the
+others, keys are done when one label is left, and the number of pivots is doubled from round to round. So every pair that shares a key is met, or joined up before; nothing is capped.
 
-Texts of nodes that share a key are written once. A task that confirms holds the set of one pivot and streams the texts that it meets; a pivot that very many meet is
-sent to several tasks.
+A pair is confirmed where its two texts meet. They are fetched from the documents once for the first bands, and later only what a round still lacks. Joins that carry texts are shuffled on
+both sides, so that a pivot that very many meet can be split.
 
 Defined results: a text with fewer than five words has its whole word sequence as its only shingle; one without words (or null) has an empty set, is linked with
 nothing, and is its own component. Component ids are the smallest non-null doc_id, null where all are null; ``kept`` is false for a null doc_id. Repeated rows are
@@ -26,6 +25,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import repeat
 from math import ceil, sqrt
 
@@ -40,10 +40,8 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 85
-ROWS = 6
-MINIMA = 192
-#: Texts that one copy of a pivot is compared with, about.
-MEETINGS = 2000
+ROWS, BANDS, FIRST = 5, 20, 4
+MINIMA = 128
 _A = np.array([xxhash.xxh64_intdigest(b"a%d" % k) | 1 for k in range(MINIMA)], np.uint64)[:, None]
 _B = np.array([xxhash.xxh64_intdigest(b"b%d" % k) for k in range(MINIMA)], np.uint64)[:, None]
 
@@ -77,7 +75,7 @@ def minima(hashes: np.ndarray) -> np.ndarray:
 
 def band_keys(least: np.ndarray) -> list[int]:
     raw, step = least.astype("<u4").tobytes(), 4 * ROWS
-    return [xxhash.xxh64_intdigest(raw[k * step : (k + 1) * step], k) for k in range(MINIMA // ROWS)]
+    return [xxhash.xxh64_intdigest(raw[k * step : (k + 1) * step], k) for k in range(BANDS)]
 
 
 def sketch(least: np.ndarray) -> np.ndarray:
@@ -107,7 +105,7 @@ DESCRIPTION = "n_shingles long, digest binary, sketch array<long>, keys array<lo
 def describe(texts: list[bytes | None], size: int = SHINGLE) -> list[pa.Array]:
     """The columns of DESCRIPTION; without words the digest is null, and the others are of no meaning."""
     n, digests = np.zeros(len(texts), np.int64), []
-    sketches, keys = np.zeros((len(texts), MINIMA // 64), np.int64), np.zeros((len(texts), MINIMA // ROWS), np.uint64)
+    sketches, keys = np.zeros((len(texts), MINIMA // 64), np.int64), np.zeros((len(texts), BANDS), np.uint64)
     for k, text in enumerate(texts):
         own = shingle_set(text or b"", size)
         n[k] = len(own)
@@ -115,7 +113,7 @@ def describe(texts: list[bytes | None], size: int = SHINGLE) -> list[pa.Array]:
         if len(own):
             least = minima(own)
             sketches[k], keys[k] = sketch(least), band_keys(least)
-    return [pa.array(n), pa.array(digests, pa.binary()), lists(sketches.reshape(-1), MINIMA // 64), lists(keys.view(np.int64).reshape(-1), MINIMA // ROWS)]
+    return [pa.array(n), pa.array(digests, pa.binary()), lists(sketches.reshape(-1), MINIMA // 64), lists(keys.view(np.int64).reshape(-1), BANDS)]
 
 
 def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -131,35 +129,23 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return cut(rows.mapInArrow(each, f"id long, doc_id long, text_md5 string, {DESCRIPTION}"), "described")
 
 
-def shared(keyed: DataFrame) -> DataFrame:
-    """The rows (key, id) of keys that several nodes have, written, with each node's weight: the nodes in all its keys together."""
-    several = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
-    keyed = cut(keyed.join(cut(several.where("low < high").select("key", "n"), "several"), "key"), "shared")
-    return cut(keyed.select("key", "id").join(keyed.groupBy("id").agg(F.sum("n").alias("weight")), "id"), "weighed")
-
-
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int = SHINGLE) -> DataFrame:
-    """u, v: the pairs (id, pivot; a written table) of texts (id, text) whose sets are similar."""
+    """u, v: the pairs (id, pivot) of texts (id, text) whose sets are similar."""
 
     def each(batches):
         at, own = None, None
         for batch in batches:
             found = []
-            for pivot, salt, id, text in ((x.as_py() for x in row) for row in zip(*(batch.column(c) for c in ("pivot", "salt", "id", "text")))):
-                if id is None:
-                    at, own = (pivot, salt), shingle_set(text, size)
-                elif at == (pivot, salt) and similar(own, shingle_set(text, size), percent):
+            for id, pivot, text, other in zip(batch.column("id").to_pylist(), batch.column("pivot").to_pylist(), batch.column("text"), batch.column("other")):
+                if pivot != at:
+                    at, own = pivot, shingle_set(other.as_py(), size)
+                if similar(own, shingle_set(text.as_py(), size), percent):
                     found.append((id, pivot))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
 
-    sizes = cut(pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / MEETINGS).cast("int").alias("salts")), "sizes")
-    coming = pairs.join(sizes, "pivot").join(texts, "id")
-    coming = coming.select("pivot", F.pmod(F.xxhash64("id"), F.col("salts").cast("long")).cast("int").alias("salt"), "id", "text")
-    stand = sizes.join(texts, F.col("pivot") == F.col("id"))
-    stand = stand.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("id"), "text")
-    dealt = stand.union(coming).repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.col("id").asc_nulls_first())
-    return dealt.mapInArrow(each, "u long, v long")
+    met = pairs.select("id", "pivot").join(texts.hint("merge"), "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("other")).hint("merge"), "pivot")
+    return met.select("id", "pivot", "text", "other").mapInArrow(each, "u long, v long")
 
 
 def _apart(a: str, b: str) -> Column:
@@ -167,34 +153,77 @@ def _apart(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, MINIMA // 64)), F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
 
 
-def groups(keyed: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int, size: int = SHINGLE) -> DataFrame | None:
-    """node, label: the components of linked nodes, by rounds of pivots; None where nothing is linked.
+class Rounds:
+    """Rounds of pivots. ``fetch`` gives the texts (id, text binary) of a table's ids."""
 
-    ``keyed`` comes from ``shared``; ``sketches`` (id, sketch) and ``texts`` (id, text binary) are tables that have its nodes.
-    """
-    spark, found, tested, pivots = keyed.sparkSession, None, None, 1
-    keyed = cut(keyed.join(sketches, "id").withColumn("label", F.col("id")), "keyed")
-    while not keyed.isEmpty():
-        part = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(pivots))
-        heads = keyed.groupBy("key", part.alias("part")).agg(F.max(F.struct("weight", F.negate("id").alias("minus_id"), "label", "sketch")).alias("head"))
+    def __init__(self, fetch: Callable[[DataFrame], DataFrame], percent: int, size: int):
+        self.fetch, self.percent, self.size = fetch, percent, size
+        self.groups: DataFrame | None = None  # node, label
+        self.tested: DataFrame | None = None  # high, low
+        self.texts: DataFrame | None = None
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """The rows (id, and others) with the label of their node."""
+        if self.groups is None:
+            return rows.withColumn("label", F.col("id"))
+        return rows.join(self.groups.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+    def meet(self, keyed: DataFrame, parts: int = 1) -> DataFrame:
+        """Let the pivots of each part of each key meet the key's other nodes. ``keyed``: key, id, label, weight, sketch, written. Returns the pivots: key, id."""
+        part = F.pmod(F.xxhash64("id", F.lit(parts)), F.lit(parts))
+        node = [F.negate("id").alias("minus_id"), "label", "sketch"]
+        ends = keyed.groupBy("key", part.alias("part")).agg(F.max(F.struct("weight", *node)).alias("most"), F.max(F.struct(F.negate("weight").alias("weight"), *node)).alias("least"))
+        heads = ends.select("key", F.explode(F.array_distinct(F.array(*[F.struct(f"{e}.minus_id", f"{e}.label", f"{e}.sketch") for e in ("most", "least")]))).alias("head"))
         heads = cut(heads.select("key", F.negate("head.minus_id").alias("pivot"), F.col("head.label").alias("pivot_label"), F.col("head.sketch").alias("pivot_sketch")), "heads")
-        met = keyed.join(heads, "key").where((F.col("label") != F.col("pivot_label")) & (_apart("sketch", "pivot_sketch") <= differing(percent)))
+        met = keyed.join(heads, "key").where((F.col("label") != F.col("pivot_label")) & (_apart("sketch", "pivot_sketch") <= differing(self.percent)))
         # A pair that meets in several keys is one, with either of its nodes as the pivot.
         pairs = met.groupBy(F.greatest("id", "pivot").alias("high"), F.least("id", "pivot").alias("low")).agg(F.min("pivot").alias("pivot"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["high", "low"], "left_anti")
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["high", "low"], "left_anti")
         pairs = cut(pairs.withColumn("id", F.col("high") + F.col("low") - F.col("pivot")), "pairs")
-        tested = pairs.select("high", "low") if tested is None else tested.union(pairs.select("high", "low"))
-        links = cut(confirmed(pairs, texts, percent, size), "links")
+        done = pairs.select("high", "low")
+        self.tested = done if self.tested is None else self.tested.union(done)
+        if not pairs.isEmpty():
+            self._link(pairs)
+        return heads.select("key", F.col("pivot").alias("id"))
+
+    def _link(self, pairs: DataFrame) -> None:
+        wanted = pairs.select("id").union(pairs.select("pivot")).distinct()
+        if self.texts is not None:
+            wanted = wanted.join(self.texts.select("id"), "id", "left_anti")
+        more = cut(self.fetch(cut(wanted, "wanted")), "texts")
+        self.texts = more if self.texts is None else self.texts.union(more)
+        links = cut(confirmed(pairs, self.texts, self.percent, self.size), "links")
         if not links.isEmpty():
-            found = components(links if found is None else links.union(found.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))))
-            of = found.select(F.col("node").alias("id"), F.col("label").alias("of"))
-            keyed = keyed.join(of, "id", "left").withColumn("label", F.coalesce("of", "label")).drop("of")
-        keyed = cut(keyed.join(heads.select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti"), "rest")
-        open_keys = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        keyed = cut(keyed.join(open_keys, "key", "left_semi"), "keyed")
-        pivots *= 2
-    return found
+            before = self.groups
+            self.groups = components(links if before is None else links.union(before.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))))
+
+
+def groups(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, size: int = SHINGLE) -> DataFrame | None:
+    """node, label: the components of linked nodes; None where nothing is linked. ``nodes``: id, sketch, keys (any number), written."""
+    rounds = Rounds(fetch, percent, size)
+    sketches = nodes.select("id", "sketch")
+    keyed = nodes.select("id", F.explode(F.slice("keys", 1, FIRST)).alias("key"))
+    several = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("key", "n")
+    keyed = cut(keyed.join(cut(several, "several"), "key"), "shared")
+    weights = cut(keyed.groupBy("id").agg(F.sum("n").alias("weight")).join(sketches, "id"), "weights")
+    rounds.meet(cut(rounds.labelled(keyed.select("key", "id").join(weights, "id")), "keyed"))
+
+    keyed = rounds.labelled(nodes.select("id", "keys")).select("id", "label", F.explode("keys").alias("key"))
+    keyed = cut(keyed.join(cut(_open(keyed), "open"), "key", "left_semi"), "keyed")
+    keyed = keyed.join(weights.select("id", "weight"), "id", "left").fillna(0, "weight").join(sketches, "id")
+    parts, keyed = 1, cut(keyed, "keyed")
+    while not keyed.isEmpty():
+        pivots = rounds.meet(keyed, parts)
+        left = cut(rounds.labelled(keyed.drop("label").join(pivots, ["key", "id"], "left_anti")), "left")
+        keyed = cut(left.join(_open(left), "key", "left_semi"), "keyed")
+        parts *= 2
+    return rounds.groups
+
+
+def _open(keyed: DataFrame) -> DataFrame:
+    """The keys whose nodes have several labels."""
+    return keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
 
 
 def assign(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -202,13 +231,17 @@ def assign(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> Data
     made = described(docs, size)
     nodes = made.where("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("id", "doc_id", "text_md5")).alias("row"), F.min("doc_id").alias("first"))
     nodes = cut(nodes.select("digest", "first", "row.*"), "nodes")
-    keyed = shared(made.join(nodes.select("id"), "id", "left_semi").select("id", F.explode("keys").alias("key")))
-    inside = cut(keyed.select("id").distinct(), "inside")
-    wanted = cut(nodes.join(inside, "id", "left_semi").select("id", F.col("doc_id").alias("of"), F.col("text_md5").alias("md5")), "wanted")
+    known = nodes.select("id", F.col("doc_id").alias("of"), F.col("text_md5").alias("md5"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).withColumn("text_md5", F.md5("text"))
-    # One of the rows that have the node's doc_id and text; they differ in nothing that is read here.
-    texts = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_md5") == F.col("md5"))).groupBy("id").agg(F.any_value("text").alias("text"))
-    found = groups(keyed, made.select("id", "sketch"), cut(texts, "texts"), percent, size)
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        # One of the rows that have the node's doc_id and text; they differ in nothing that is read here.
+        wanted = known.join(ids, "id")
+        found = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_md5") == F.col("md5")))
+        return found.groupBy("id").agg(F.any_value("text").alias("text"))
+
+    described_nodes = cut(made.select("id", "sketch", "keys").join(nodes.select("id"), "id", "left_semi"), "described_nodes")
+    found = groups(described_nodes, fetch, percent, size)
     if found is None:
         by_digest = nodes.select("digest", F.col("first").alias("component_id"))
     else:
