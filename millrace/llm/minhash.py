@@ -9,12 +9,17 @@
 4. What is left is confirmed on the full sets: 100 * intersection >= percent * union, in integers.
 5. Confirmed pairs are links, and their components come from alternating large-star and small-star steps.
 
-No pairs are made inside a key. Of each key's nodes that with the most and that with the least company are its pivots: a pivot meets every other node of the key that has another label, and has
-then nothing more to learn there. At first only ``FIRST`` bands are gone through, once. That settles most families of near copies: links are joined up, and a node gets its component as label.
-Then all bands are, but only keys whose nodes have several labels; a family that is one label by now costs no more. There the pivots leave a key when they have met the
-others, keys are done when one label is left, and the number of pivots is doubled from round to round. So every pair that shares a key is met, or joined up before; nothing is capped.
+The pairs of a key are not made by a join. Of each key's nodes that with the most and that with the least company are its pivots, and first only these meet the others, and only nodes that have
+another label:
 
-A pair is confirmed where its two texts meet. They are fetched from the documents once for the first bands, and later only what a round still lacks. Joins that carry texts are shuffled on
+1. The pivots of ``FIRST`` bands meet the nodes of their keys. That settles most families of near copies: links are joined up, and a node gets its component as label.
+2. In all bands, in keys whose nodes have several labels, whole labels meet by their heaviest nodes, as long as that links any.
+3. In the keys that are still open all nodes meet that have different labels, on their full sets: in pairs of blocks of bounded size, where a node's intersections with all
+   others are counted at once, and no more links are given out than join the labels up.
+
+So every pair that shares a key is met, or joined up before; nothing is capped.
+
+A pair is confirmed where its two texts meet. They are fetched from the documents for each of the three steps. Joins that carry texts are shuffled on
 both sides, so that a pivot that very many meet can be split.
 
 Defined results: a text with fewer than five words has its whole word sequence as its only shingle; one without words (or null) has an empty set, is linked with
@@ -41,6 +46,8 @@ from .components import components
 SHINGLE = 5
 PERCENT = 85
 ROWS, BANDS, FIRST = 5, 20, 4
+#: Nodes of a block, about, where all nodes of a key meet.
+BLOCK = 256
 MINIMA = 128
 _A = np.array([xxhash.xxh64_intdigest(b"a%d" % k) | 1 for k in range(MINIMA)], np.uint64)[:, None]
 _B = np.array([xxhash.xxh64_intdigest(b"b%d" % k) for k in range(MINIMA)], np.uint64)[:, None]
@@ -168,14 +175,61 @@ class Rounds:
             return rows.withColumn("label", F.col("id"))
         return rows.join(self.groups.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
 
-    def meet(self, keyed: DataFrame, parts: int = 1) -> DataFrame:
-        """Let the pivots of each part of each key meet the key's other nodes. ``keyed``: key, id, label, weight, sketch, written. Returns the pivots: key, id."""
-        part = F.pmod(F.xxhash64("id", F.lit(parts)), F.lit(parts))
+    def heads_meet(self, described: DataFrame) -> bool:
+        """In each key that has several labels let the heaviest nodes of two of them meet, those of the least and the greatest label. Whether that linked anything.
+
+        ``described``: id, keys, weight, sketch, written.
+        """
+        own = self.labelled(described)
+        pairs = _open(own.select("label", F.explode("keys").alias("key"))).select("low", "high").distinct()
+        head = own.groupBy("label").agg(F.max(F.struct("weight", F.negate("id").alias("minus_id"), "sketch")).alias("h"))
+        head = cut(head.select("label", F.negate("h.minus_id").alias("id"), "h.sketch"), "label_heads")
+        met = cut(pairs, "label_pairs").join(head.select(F.col("label").alias("low"), F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "low")
+        met = met.join(head.withColumnRenamed("label", "high"), "high").where(_apart("sketch", "pivot_sketch") <= differing(self.percent))
+        return self._test(met)
+
+    def meet(self, keyed: DataFrame) -> None:
+        """Let the pivots of each key meet the key's other nodes. ``keyed``: key, id, label, weight, sketch, written."""
         node = [F.negate("id").alias("minus_id"), "label", "sketch"]
-        ends = keyed.groupBy("key", part.alias("part")).agg(F.max(F.struct("weight", *node)).alias("most"), F.max(F.struct(F.negate("weight").alias("weight"), *node)).alias("least"))
+        ends = keyed.groupBy("key").agg(F.max(F.struct("weight", *node)).alias("most"), F.max(F.struct(F.negate("weight").alias("weight"), *node)).alias("least"))
         heads = ends.select("key", F.explode(F.array_distinct(F.array(*[F.struct(f"{e}.minus_id", f"{e}.label", f"{e}.sketch") for e in ("most", "least")]))).alias("head"))
         heads = cut(heads.select("key", F.negate("head.minus_id").alias("pivot"), F.col("head.label").alias("pivot_label"), F.col("head.sketch").alias("pivot_sketch")), "heads")
-        met = keyed.join(heads, "key").where((F.col("label") != F.col("pivot_label")) & (_apart("sketch", "pivot_sketch") <= differing(self.percent)))
+        self._test(keyed.join(heads, "key").where((F.col("label") != F.col("pivot_label")) & (_apart("sketch", "pivot_sketch") <= differing(self.percent))))
+
+    def all_meet(self, keyed: DataFrame) -> None:
+        """Let all nodes of each key meet that have different labels: in pairs of blocks, on their full sets. ``keyed``: key, n (its nodes), id, label, written."""
+        if keyed.isEmpty():
+            return
+        self.want(keyed.select("id").distinct())
+        size, percent = self.size, self.percent
+
+        def sets(batches):
+            for batch in batches:
+                found = [shingle_set(t.as_py(), size).astype("<u8").tobytes() for t in batch.column("text")]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "own"])
+
+        own = cut(self.texts.select("id", "text").mapInArrow(sets, "id long, own binary"), "sets")
+        blocks = F.ceil(F.col("n") / BLOCK)
+        dealt = keyed.withColumn("at", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        dealt = dealt.select("key", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), "at", "id", "label").join(own.hint("merge"), "id")
+        dealt = dealt.select("key", "p", "q", "at", "id", "label", "own").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+        def each(batches):
+            group, rows = None, []
+            for batch in batches:
+                for *place, at, id, label, one in zip(*(batch.column(c).to_pylist() for c in ("key", "p", "q", "at", "id", "label")), batch.column("own")):
+                    if place != group and rows:
+                        yield _links(rows, group[1] == group[2], percent)
+                        rows = []
+                    group = place
+                    rows.append((at, id, label, np.frombuffer(one.as_py(), "<u8")))
+            if rows:
+                yield _links(rows, group[1] == group[2], percent)
+
+        self._join(cut(dealt.mapInArrow(each, "u long, v long").distinct(), "links"))
+
+    def _test(self, met: DataFrame, fetched: bool = False) -> bool:
+        """Confirm pairs (id, pivot) that have not been tested, and link them. Whether there was a link."""
         # A pair that meets in several keys is one, with either of its nodes as the pivot.
         pairs = met.groupBy(F.greatest("id", "pivot").alias("high"), F.least("id", "pivot").alias("low")).agg(F.min("pivot").alias("pivot"))
         if self.tested is not None:
@@ -183,20 +237,61 @@ class Rounds:
         pairs = cut(pairs.withColumn("id", F.col("high") + F.col("low") - F.col("pivot")), "pairs")
         done = pairs.select("high", "low")
         self.tested = done if self.tested is None else self.tested.union(done)
-        if not pairs.isEmpty():
-            self._link(pairs)
-        return heads.select("key", F.col("pivot").alias("id"))
+        return not pairs.isEmpty() and self._link(pairs, fetched)
 
-    def _link(self, pairs: DataFrame) -> None:
-        wanted = pairs.select("id").union(pairs.select("pivot")).distinct()
+    def want(self, ids: DataFrame) -> None:
+        """Fetch the texts of the ids that are not there yet."""
         if self.texts is not None:
-            wanted = wanted.join(self.texts.select("id"), "id", "left_anti")
-        more = cut(self.fetch(cut(wanted, "wanted")), "texts")
+            ids = ids.join(self.texts.select("id"), "id", "left_anti")
+        more = cut(self.fetch(cut(ids, "wanted")), "texts")
         self.texts = more if self.texts is None else self.texts.union(more)
-        links = cut(confirmed(pairs, self.texts, self.percent, self.size), "links")
-        if not links.isEmpty():
+
+    def _link(self, pairs: DataFrame, fetched: bool) -> bool:
+        if not fetched:
+            self.want(pairs.select("id").union(pairs.select("pivot")).distinct())
+        return self._join(cut(confirmed(pairs, self.texts, self.percent, self.size), "links"))
+
+    def _join(self, links: DataFrame) -> bool:
+        """Join the groups up by more links. Whether there were any."""
+        linked = not links.isEmpty()
+        if linked:
             before = self.groups
             self.groups = components(links if before is None else links.union(before.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))))
+        return linked
+
+
+def _links(rows: list[tuple], alone: bool, percent: int) -> pa.RecordBatch:
+    """Links (u, v) of a pair of blocks: rows of (block, id, label, set); ``alone`` if both are one block. As many as join its labels up."""
+    block, ids, labels = (np.array(c) for c in list(zip(*rows))[:3])
+    sizes = np.array([len(r[3]) for r in rows])
+    # By hash the rows that have it; a row's intersections with all others are counted at once.
+    _, codes, held = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True, return_counts=True)
+    holders = np.repeat(np.arange(len(rows)), sizes)[np.argsort(codes, kind="stable")]
+    first = np.cumsum(held) - held
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    root = {x: x for x in labels.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    found = []
+    for i in range(len(rows)):
+        own = codes[edges[i] : edges[i + 1]]
+        own = own[held[own] > 1]
+        counts = held[own]
+        at = np.repeat(first[own] - (np.cumsum(counts) - counts), counts)
+        at += np.arange(len(at))
+        both = np.bincount(holders[at], minlength=len(rows))
+        near = (100 * both >= percent * (sizes[i] + sizes - both)) & (labels != labels[i]) & ((block != block[i]) | alone)
+        for j in np.flatnonzero(near[:i]):
+            a, b = find(int(labels[i])), find(int(labels[j]))
+            if a != b:
+                root[a] = b
+                found.append((int(ids[i]), int(ids[j])))
+    u, v = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
 def groups(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, size: int = SHINGLE) -> DataFrame | None:
@@ -209,21 +304,18 @@ def groups(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: i
     weights = cut(keyed.groupBy("id").agg(F.sum("n").alias("weight")).join(sketches, "id"), "weights")
     rounds.meet(cut(rounds.labelled(keyed.select("key", "id").join(weights, "id")), "keyed"))
 
-    keyed = rounds.labelled(nodes.select("id", "keys")).select("id", "label", F.explode("keys").alias("key"))
-    keyed = cut(keyed.join(cut(_open(keyed), "open"), "key", "left_semi"), "keyed")
-    keyed = keyed.join(weights.select("id", "weight"), "id", "left").fillna(0, "weight").join(sketches, "id")
-    parts, keyed = 1, cut(keyed, "keyed")
-    while not keyed.isEmpty():
-        pivots = rounds.meet(keyed, parts)
-        left = cut(rounds.labelled(keyed.drop("label").join(pivots, ["key", "id"], "left_anti")), "left")
-        keyed = cut(left.join(_open(left), "key", "left_semi"), "keyed")
-        parts *= 2
+    described = cut(nodes.join(weights.select("id", "weight"), "id", "left").fillna(0, "weight"), "described")
+    while rounds.heads_meet(described):
+        pass
+    keyed = rounds.labelled(described).select("id", "label", F.explode("keys").alias("key"))
+    keyed = cut(keyed.join(cut(_open(keyed).select("key", "n"), "open"), "key"), "keyed")
+    rounds.all_meet(keyed)
     return rounds.groups
 
 
 def _open(keyed: DataFrame) -> DataFrame:
-    """The keys whose nodes have several labels."""
-    return keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    """The keys whose nodes have several labels, with the least and the greatest, and the number of nodes."""
+    return keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
 
 
 def assign(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
