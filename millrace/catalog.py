@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import corpus, domain, imports, inventory, reports  # noqa: F401  they register their queries
+from millrace.plans import corpus, domain, evidence, imports, inventory, registrations, reports  # noqa: F401  they register their queries
 from millrace.plans.registry import QUERIES, SQL
 
 FLAGSHIP = "inventory_latest_status"

@@ -1,50 +1,127 @@
 """Clusters of postings that are the same opening: complete linkage within a company.
 
 Two clusters merge only if every pair across them matches. (Connected components would be wrong: a chain of
-matches is not a match of its ends.) Edges are taken by priority, then by the rows' order.
+matches is not a match of its ends.) Matches are taken by priority, then by the rows' order.
+
+Rows of one source match by their external id only (priority 0); anchors count across different sources, the least priority of those that two rows share. No pairs are made:
+
+1. Rows that agree in source, external id and anchors are one node, since they match the same rows and each other.
+2. Nodes that share an anchor with a node of another source, or the external id of their source, are of one connected component, found by Spark from (node, anchor) edges. Nothing merges across components.
+3. Each component is merged by itself, as a stream of components in every task. It holds its nodes and anchors, not its pairs. A cluster has at most one external id of each source, so
+   of the very many nodes that may share an anchor those whose cluster already has a source of the other's are passed over by arrays of bits.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.components import connected
+from millrace.sources.versions import cut
+
+#: Candidates from which on arrays decide which are worth a look.
+MANY = 32
+
+
+def nodes_of(rows: DataFrame, company: str, order: str, source: str, external_id: str, anchors: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' keys (company, order, _key) and the nodes (_id, company, _key, _first, _source, _external, _anchors), both written."""
+    own = F.when(F.col(external_id).isNull(), F.col(order))  # without an external id a row is like no other
+    sorted_anchors = F.array_sort(F.array_distinct(F.coalesce(F.col(anchors), F.array().cast(dict(rows.dtypes)[anchors]))))
+    keyed = rows.select(F.col(company), F.col(order), F.col(source).cast("string").alias("_source"), F.col(external_id).cast("string").alias("_external"), sorted_anchors.alias("_anchors"), own.alias("_own"))
+    keyed = cut(keyed.withColumn("_key", F.to_json(F.struct("_source", "_external", "_anchors", "_own"))), "keyed")
+    nodes = keyed.groupBy(company, "_key").agg(F.min(order).alias("_first"), F.any_value("_source").alias("_source"), F.any_value("_external").alias("_external"), F.any_value("_anchors").alias("_anchors"))
+    return keyed.select(company, order, "_key"), cut(nodes.withColumn("_id", F.monotonically_increasing_id()), "nodes")
+
+
+def _edges(nodes: DataFrame, company: str) -> DataFrame:
+    """u, v: each node with the first one of its anchor (if the anchor is in several sources), and of its external id."""
+    each = nodes.select(company, "_id", "_source", F.explode("_anchors").alias("_a")).select(company, "_id", "_source", "_a.kind", "_a.value")
+    heads = each.groupBy(company, "kind", "value").agg(F.min("_id").alias("v"), F.min("_source").alias("_low"), F.max("_source").alias("_high")).where("_low < _high")
+    shared = each.join(heads.select(company, "kind", "value", "v"), [company, "kind", "value"]).select(F.col("_id").alias("u"), "v")
+    same = nodes.where("_external IS NOT NULL").select(company, "_id", "_source", "_external")
+    first = same.groupBy(company, "_source", "_external").agg(F.min("_id").alias("v"))
+    return shared.union(same.join(first, [company, "_source", "_external"]).select(F.col("_id").alias("u"), "v"))
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by component and order: _component, _id, _source, _external, _anchors. Gives _id with the _id of its cluster's first node."""
+    at, own = None, []
+
+    def done():
+        ids = [r["_id"] for r in own]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([ids[k] for k in merged(own)], pa.int64())], ["_id", "_head"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["_component"] != at and own:
+                yield done()
+                own = []
+            at = row["_component"]
+            own.append(row)
+    if own:
+        yield done()
+
+
+def merged(nodes: list[dict]) -> list[int]:
+    """For each node of a component, in order, the place of its cluster's first node."""
+    n = len(nodes)
+    sources = {s: k for k, s in enumerate(dict.fromkeys(r["_source"] for r in nodes))}
+    source = np.array([sources[r["_source"]] for r in nodes])
+    anchors = [{(a["kind"], a["value"]) for a in r["_anchors"]} for r in nodes]
+    where: dict[int, dict[tuple, list[int]]] = {}
+    for k, r in enumerate(nodes):
+        for a in r["_anchors"]:
+            where.setdefault(a["priority"], {}).setdefault((a["kind"], a["value"]), []).append(k)
+    of = np.arange(n)
+    has = np.zeros((n, -(-len(sources) // 64)), np.uint64)  # the sources of each cluster, as bits in the row of its first node
+    has[np.arange(n), source // 64] = np.uint64(1) << (source % 64).astype(np.uint64)
+    members = [[k] for k in range(n)]
+
+    def join(a: int, b: int) -> None:
+        a, b = min(a, b), max(a, b)
+        of[members[b]] = a
+        members[a] += members[b]
+        members[b] = []
+        has[a] |= has[b]
+
+    first: dict[tuple, int] = {}
+    for k, r in enumerate(nodes):
+        if r["_external"] is not None and (f := first.setdefault((r["_source"], r["_external"]), k)) != k:
+            join(of[f], of[k])
+    for priority in sorted(where):
+        places = {a: np.array(p) for a, p in where[priority].items()}
+        for i in range(n):
+            mine = [places[a] for a in anchors[i] if a in places]
+            mine = [p[np.searchsorted(p, i, "right") :] for p in mine]
+            left = np.unique(np.concatenate(mine)) if len(mine) > 1 else mine[0] if mine else ()
+            while len(left):
+                if len(left) > MANY:
+                    left = left[(of[left] != of[i]) & ~(has[of[left]] & has[of[i]]).any(axis=1)]
+                for at, j in enumerate(left):
+                    a, b = of[i], of[j]
+                    if a != b and not (has[a] & has[b]).any() and all(anchors[x] & anchors[y] for x in members[a] for y in members[b]):
+                        join(a, b)
+                        break
+                else:
+                    break
+                left = left[at + 1 :]
+    return of.tolist()
+
 
-def match_pairs(rows: DataFrame, company: str, order: str, source: str, external_id: str, anchors: str) -> DataFrame:
-    """company, a, b, priority: pairs of one company's rows that match, by equi-joins.
-
-    Rows of one source match by their external id only (priority 0); anchors count across different sources. ``anchors`` is
-    array<struct<kind: string, value: string, priority: int>>; the least priority counts.
-    """
-    keyed = rows.select(company, F.col(order).alias("_i"), F.col(source).alias("_s"), F.col(external_id).alias("_e"), anchors)
-    own = keyed.where(F.col("_e").isNotNull()).select(company, "_i", "_s", F.lit("external id").alias("kind"), F.to_json(F.struct("_s", "_e")).alias("value"), F.lit(0).alias("priority"))
-    each = own.unionByName(keyed.select(company, "_i", "_s", F.explode(anchors).alias("_x")).select(company, "_i", "_s", "_x.*"))
-    left, right = each.withColumnsRenamed({"_i": "a", "_s": "_sa"}), each.withColumnsRenamed({"_i": "b", "_s": "_sb"}).drop("priority")
-    pairs = left.join(right, [company, "kind", "value"]).where("a < b AND (priority = 0 OR _sa <> _sb)")
-    return pairs.groupBy(company, "a", "b").agg(F.min("priority").alias("priority"))
-
-
-def complete_linkage(rows: DataFrame, company: str, order: str, pairs: DataFrame) -> DataFrame:
-    """The rows with ``cluster``: the least ``order`` of the cluster. One company's pairs are one group; they are its matches, not all its pairs."""
-
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        edges = group.sort_values(["priority", "a", "b"])
-        matched = set(zip(edges["a"], edges["b"]))
-        members = {i: {i} for i in {*edges["a"], *edges["b"]}}
-        of = {i: i for i in members}
-        for a, b in zip(edges["a"], edges["b"]):
-            x, y = of[a], of[b]
-            if x != y and all((min(i, j), max(i, j)) in matched for i in members[x] for j in members[y]):
-                x, y = min(x, y), max(x, y)
-                for j in members.pop(y):
-                    members[x].add(j)
-                    of[j] = x
-        return pd.DataFrame({company: group[company].iloc[0], order: list(of), "cluster": list(of.values())})
-
-    kinds = dict(rows.dtypes)
-    found = pairs.groupBy(company).applyInPandas(merge, f"{company} {kinds[company]}, {order} {kinds[order]}, cluster {kinds[order]}")
-    return rows.join(found, [company, order], "left").withColumn("cluster", F.coalesce("cluster", order))
+def clusters(rows: DataFrame, company: str, order: str, source: str, external_id: str, anchors: str) -> DataFrame:
+    """The rows with ``cluster``: the least ``order`` of the cluster. ``order`` is a number of its own for each row of a company; ``anchors`` is array<struct<kind: string, value: string, priority: int>>."""
+    keys, nodes = nodes_of(rows, company, order, source, external_id, anchors)
+    parts = connected(_edges(nodes, company)).select(F.col("node").alias("_id"), F.col("component").alias("_component"))
+    dealt = nodes.join(parts, "_id").select("_component", "_first", "_id", "_source", "_external", "_anchors").repartition("_component").sortWithinPartitions("_component", "_first")
+    found = cut(dealt.drop("_first").mapInArrow(_merge, "_id long, _head long"), "merged")
+    named = nodes.join(found, "_id", "left").withColumn("_head", F.coalesce("_head", "_id"))
+    named = named.join(nodes.select(F.col("_id").alias("_head"), F.col("_first").alias("cluster")), "_head").select(company, "_key", "cluster")
+    joined = keys.join(named, [company, "_key"]).select(company, order, "cluster")
+    return rows.join(joined, [company, order])
 
 
 def representative(variants: DataFrame, cluster: str, managed: str, rank: str, ties: list[str]) -> DataFrame:

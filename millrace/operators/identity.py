@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text, urls
+from millrace.operators.ranks import numbered_within
 
 
 def unique_slugs(rows: DataFrame, name: str, order: str, taken: DataFrame | None = None) -> DataFrame:
     """The rows with ``slug``: base, base-2, base-3 … in ``order``; numbering goes on after the slugs in ``taken`` (column slug)."""
     out = rows.withColumn("_base", text.slugify(F.col(name)))
-    number = F.row_number().over(Window.partitionBy("_base").orderBy(order))
+    out, number = numbered_within(out, ["_base"], [F.col(order)], "_number"), F.col("_number")
     if taken is not None:
         base = F.regexp_replace("slug", "-[0-9]+$", "")
         used = taken.select("slug", F.explode(F.array_distinct(F.array("slug", base))).alias("_base"))
@@ -19,7 +20,7 @@ def unique_slugs(rows: DataFrame, name: str, order: str, taken: DataFrame | None
         used = used.groupBy("_base").agg(F.max(F.when(F.col("slug") == F.col("_base"), 1).otherwise(last)).alias("_used"))
         out = out.join(used, "_base", "left")
         number = number + F.coalesce("_used", F.lit(0))
-    return out.withColumn("slug", F.when(number == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", number))).drop("_base", "_used")
+    return out.withColumn("slug", F.when(number == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", number))).drop("_base", "_used", "_number")
 
 
 def surviving_claims(companies: DataFrame, key: str, name: str, website: str) -> DataFrame:

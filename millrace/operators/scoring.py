@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.pool import points
+from millrace.operators.ranks import numbered
 
 # Fixed values of the scores.
 ROLE_STATUS_SCORE_ADJUSTMENTS = {"strong": 16, "possible": 7, "weak": -6, "exclude": -30}
@@ -94,10 +95,8 @@ def opportunity_scores(jobs: DataFrame, as_of: str) -> DataFrame:
 
 def rank_companies(companies: DataFrame, scores: DataFrame) -> DataFrame:
     """companies (company_id, slug, company_fit_score) with fit_score = max(company_fit_score + opportunity_score, 0) and rank: best first, ties by slug. The rank is of a report: all companies in one order."""
-    from pyspark.sql import Window
-
     rows = companies.join(scores, "company_id", "left").withColumn("fit_score", F.greatest(F.col("company_fit_score") + F.coalesce("opportunity_score", F.lit(0)), F.lit(0)))
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("fit_score"), "slug")))
+    return numbered(rows, [F.desc("fit_score"), F.col("slug")])
 
 
 

@@ -92,16 +92,19 @@ SELECT count(*) AS rows, count(DISTINCT user_id) AS users, count(DISTINCT CASE W
 FROM events
 """)
 def funnel_conditional_distinct(spark, sf):
-    events = load(spark, sf, "events")
-    user = F.col("user_id")
+    kind, value = F.col("event_type"), F.col("value")
     key = F.get_json_object("props", "$.k").try_cast("bigint")
-    out = events.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.countDistinct(user).alias("users"),
-        F.countDistinct(F.when(F.col("event_type") == "click", user)).alias("clicked"),
-        F.countDistinct(F.when(F.col("event_type") == "purchase", user)).alias("bought"),
-        F.countDistinct(F.when((F.col("event_type") == "error") & (F.col("value") > 50), user)).alias("failed"),
-        F.countDistinct(key).alias("keys"),
+    # A row of flags for each user, and one for each key; then sums. Each event counts once for its user and once for its key.
+    entities = F.array(F.struct(F.lit("user").alias("of"), F.col("user_id").cast("bigint").alias("id")), F.struct(F.lit("key").alias("of"), key.alias("id")))
+    flags = {"clicked": kind == "click", "bought": kind == "purchase", "failed": (kind == "error") & (value > 50)}
+    each = load(spark, sf, "events").select(F.explode(entities).alias("e"), *[F.coalesce(c, F.lit(False)).alias(n) for n, c in flags.items()])
+    each = each.groupBy("e.of", "e.id").agg(F.count(F.lit(1)).alias("n"), *[F.max(n).alias(n) for n in flags])
+    user, known = F.col("of") == "user", F.col("id").isNotNull()
+    out = each.agg(
+        F.coalesce(F.sum(F.when(user, F.col("n"))), F.lit(0)).alias("rows"),
+        F.count_if(user & known).alias("users"),
+        *[F.count_if(user & known & F.col(n)).alias(n) for n in flags],
+        F.count_if(~user & known).alias("keys"),
     )
     return out.withColumn("users_per_row", F.round(F.try_divide("users", "rows"), 6))
 
@@ -118,11 +121,11 @@ def freshness_by_group(spark, sf):
     runs = orders.groupBy("o_custkey").agg(F.max(at).alias("last"), F.max(F.when(F.col("o_orderstatus") == "F", at)).alias("good"))  # before the join
     rows = customer.join(runs, F.col("c_custkey") == F.col("o_custkey"), "left")
     by = rows.groupBy("c_nationkey").agg(
-        F.countDistinct("c_custkey").alias("sources"),
-        F.countDistinct(F.when(F.col("o_custkey").isNotNull(), F.col("c_custkey"))).alias("with_runs"),
+        F.count("c_custkey").alias("sources"),  # the customers' key: each is there once
+        F.count("o_custkey").alias("with_runs"),
         F.max("last").alias("last_run_us"),
         F.max("good").alias("last_good_us"),
-        F.countDistinct(F.when(F.col("last") >= 959817600000000, F.col("c_custkey"))).alias("fresh"),
+        F.count_if(F.col("last") >= 959817600000000).alias("fresh"),
     )
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("sources", "with_runs", "fresh")]
     return nation.join(by, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("n_name", *counts, "last_run_us", "last_good_us")
@@ -150,12 +153,9 @@ SELECT user_id AS token, count(*) AS observations, count(DISTINCT crawl) AS craw
        min(crawl) AS first_crawl, max(crawl) AS last_crawl, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us, min(props) AS example FROM s GROUP BY 1
 """)
 def source_union_rollup(spark, sf):
-    events = load(spark, sf, "events").select("user_id", "ts", "props")
-    edges = ["2024-01-11", "2024-01-21"]
-    at = [F.lit(f"{e} 00:00:00").cast("timestamp_ntz") for e in edges]
-    slices = [events.where(F.col("ts") < at[0]), events.where((F.col("ts") >= at[0]) & (F.col("ts") < at[1])), events.where(F.col("ts") >= at[1])]
-    tagged = [s.withColumn("crawl", F.lit(f"crawl-2024-0{k}")) for k, s in enumerate(slices, 1)]
-    rows = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    edges = [F.lit(f"{e} 00:00:00").cast("timestamp_ntz") for e in ("2024-01-11", "2024-01-21")]
+    crawl = F.when(F.col("ts") < edges[0], "crawl-2024-01").when(F.col("ts") < edges[1], "crawl-2024-02").otherwise("crawl-2024-03")
+    rows = load(spark, sf, "events").select("user_id", "ts", "props", crawl.alias("crawl"))
     return rows.groupBy(F.col("user_id").alias("token")).agg(
         F.count(F.lit(1)).alias("observations"),
         F.countDistinct("crawl").alias("crawls"),
@@ -261,5 +261,4 @@ def complete_linkage_clusters(spark, sf):
         F.struct(F.lit("shape").alias("kind"), F.concat_ws("|", F.substring("p_name", 1, 5), "p_size").alias("value"), F.lit(2).alias("priority")),
     )
     rows = part.withColumns({"external_id": F.col("p_size").cast("string"), "anchors": anchors})
-    pairs = clustering.match_pairs(rows, "p_brand", "p_partkey", "p_type", "external_id", "anchors")
-    return clustering.complete_linkage(part, "p_brand", "p_partkey", pairs)
+    return clustering.clusters(rows, "p_brand", "p_partkey", "p_type", "external_id", "anchors").select(*part.columns, "cluster")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import text, times
+from millrace.functions.canonical import hashed_content, quoted
+from millrace.operators.provider_evidence import evidence
 
 BOARD_A = "jobs array<struct<id: string, title: string, absolute_url: string, content: string, location: string, departments: array<struct<name: string>>, offices: array<struct<name: string>>, first_published: string, updated_at: string>>"
 BOARD_B = (
@@ -63,8 +65,11 @@ def _finish(jobs: DataFrame, fields: dict[str, Column], hashed: list[str]) -> Da
     return rows.withColumn("problem", problem).select("source_id", *JOB)
 
 
-def board_a(payloads: DataFrame) -> DataFrame:
-    jobs = payloads.select("source_id", F.inline(F.from_json("payload", BOARD_A)["jobs"]))
+def board_a(payloads: DataFrame, provider: str = "board_a") -> DataFrame:
+    """With ``structured_evidence``. The content hash is that of the canonical JSON of what a posting says, evidence included, so that it is the same wherever it is made."""
+    raw = payloads.select("source_id", F.explode(F.from_json("payload", "jobs array<string>")["jobs"]).alias("raw"))
+    jobs = raw.select("source_id", "raw", F.from_json(F.concat(F.lit('{"jobs":['), "raw", F.lit("]}")), BOARD_A)["jobs"][0].alias("j")).select("source_id", "raw", "j.*")
+    jobs = jobs.withColumn("structured_evidence", evidence("board_a", provider)("raw"))
     location = F.when(F.startswith(F.trim("location"), F.lit("{")), F.get_json_object("location", "$.name")).otherwise(F.col("location"))
     departments = F.coalesce(_joined(_list(F.col("departments.name")), False), _joined(_list(F.col("offices.name")), False))
     fields = {
@@ -79,7 +84,11 @@ def board_a(payloads: DataFrame) -> DataFrame:
         "source_published_at": times.parse_iso(F.col("first_published")),
         "source_updated_at": times.parse_iso(F.col("updated_at")),
     }
-    return _finish(jobs, fields, ["title", "description_text", "location", "department", "posting_url"])
+    rows = jobs.select("source_id", "structured_evidence", *[c.alias(n) for n, c in fields.items()])
+    said = {n: quoted(F.col(n)) for n in ("title", "description_text", "location", "department", "employment_type", "posting_url", "apply_url")}
+    rows = rows.withColumn("content_hash", hashed_content(said | {"structured_evidence": F.col("structured_evidence")}))
+    problem = F.when(F.col("external_job_id").isNull(), "job without an id").when(F.col("title").isNull(), "job without a title")
+    return rows.withColumn("problem", problem).select("source_id", *JOB, "structured_evidence")
 
 
 def board_b(payloads: DataFrame) -> DataFrame:

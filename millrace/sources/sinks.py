@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.versions import Versions
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], action: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """The next version of ``old``: rows of ``new`` (each key once) insert or replace; ``keep`` columns stay as they were in rows that exist. Plain Parquet has no MERGE, so the result is written as a new version."""
@@ -51,10 +54,20 @@ def flat_for_csv(rows: DataFrame) -> DataFrame:
     return rows.select(*out)
 
 
-def write_queue(rows: DataFrame, path: str) -> None:
-    """The queue as JSON lines and as CSV; Spark's commit protocol makes each appear whole or not at all."""
-    rows.write.mode("overwrite").json(f"{path}/json")
-    flat_for_csv(rows).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/csv")
+def write_queue(rows: DataFrame, path: str) -> int:
+    """The queue as JSON lines and as CSV in a version of its own, which one pointer publishes when both are there; the version before stays readable meanwhile. Returns the version."""
+    versions = Versions(rows.sparkSession, path)
+    start, folder = versions.latest(), f"{path.rstrip('/')}/data/{uuid.uuid4().hex}"
+    rows.write.json(f"{folder}/json")
+    flat_for_csv(rows).write.option("header", True).option("escape", '"').csv(f"{folder}/csv")
+    versions.publish(start + 1, {"json": f"{folder}/json", "csv": f"{folder}/csv"})
+    return start + 1
+
+
+def queue_paths(spark: SparkSession, path: str) -> dict[str, str]:
+    """Where the latest version's ``json`` and ``csv`` lie."""
+    versions = Versions(spark, path)
+    return versions.manifest(versions.latest())
 
 
 def store_bodies(store: DataFrame, bodies: DataFrame) -> DataFrame:

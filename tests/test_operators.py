@@ -240,8 +240,7 @@ class TestClusters:
         rows = [r if isinstance(r, tuple) else (f"s{i}", None, r) for i, r in enumerate(rows)]
         kind = "company string, i int, source string, ext string, anchors array<struct<kind: string, value: string, priority: int>>"
         frame = spark.createDataFrame([("c", i, s, e, [("k", a, 1) for a in anchors]) for i, (s, e, anchors) in enumerate(rows)], kind)
-        pairs = clustering.match_pairs(frame, "company", "i", "source", "ext", "anchors")
-        return {r.i: r.cluster for r in clustering.complete_linkage(frame, "company", "i", pairs).collect()}
+        return {r.i: r.cluster for r in clustering.clusters(frame.repartition(3), "company", "i", "source", "ext", "anchors").collect()}
 
     def test_rows_of_one_source_match_by_external_id_only(self, spark):
         assert self.run(spark, [("a", "1", ["x"]), ("a", "2", ["x"]), ("b", "1", ["x"]), ("a", "2", []), ("c", None, [])]) == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4}
@@ -266,6 +265,11 @@ class TestClusters:
                     of[x] = of[i]
         assert self.run(spark, rows) == {i: min(c) for i, c in of.items()}
 
+    def test_anchor_that_very_many_share(self, spark):
+        """Two sources with 600 openings each and one common anchor: the i-th of one goes with the i-th of the other; no pairs are made."""
+        rows = [("ab"[k % 2], str(k), ["x"]) for k in range(1200)]
+        assert self.run(spark, rows) == {k: k - k % 2 for k in range(1200)}
+
     def test_representative(self, spark):
         rows = [("c1", False, 0, "p", "1"), ("c1", True, 5, "q", "9"), ("c1", True, 5, "q", "2"), ("c2", False, 3, "b", "1"), ("c2", False, 3, "a", "7")]
         frame = spark.createDataFrame(rows, "cluster string, managed boolean, remote int, provider string, ext string")
@@ -400,6 +404,7 @@ def test_checked_rows(spark):
 def test_write_queue(spark, tmp_path):
     rows = spark.createDataFrame([(1, ["a", "b"], [("k", 1)])], "id int, skills array<string>, more array<struct<x: string, y: int>>")
     sinks.write_queue(rows, f"{tmp_path}/q")
-    got = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/q/csv").first()
+    paths = sinks.queue_paths(spark, f"{tmp_path}/q")
+    got = spark.read.option("header", True).option("escape", '"').csv(paths["csv"]).first()
     assert tuple(got) == ("1", "a; b", '[{"x":"k","y":1}]')
-    assert spark.read.json(f"{tmp_path}/q/json").first().skills == ["a", "b"]
+    assert spark.read.json(paths["json"]).first().skills == ["a", "b"]
