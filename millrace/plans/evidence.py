@@ -57,9 +57,11 @@ _REMOTE_SQL = "list_extract(['pakistan_explicit', 'global_explicit', 'regional_u
 
 
 @query(f"""
-WITH j AS (
+WITH lines AS (
+    SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY ALL
+), j AS (
     SELECT l_orderkey AS company, l_linenumber AS job, (l_linenumber - 1) // 2 AS cl, {_REMOTE_SQL} AS remote, l_suppkey % 7 AS remote_rank, l_quantity > 20 AS managed,
-           list_extract(['strong', 'possible', 'weak', 'exclude'], CAST(l_partkey % 4 + 1 AS INTEGER)) AS role, l_partkey % 4 AS role_rank, l_returnflag AS reason, 'Title ' || (l_partkey % 3) AS title FROM lineitem
+           list_extract(['strong', 'possible', 'weak', 'exclude'], CAST(l_partkey % 4 + 1 AS INTEGER)) AS role, l_partkey % 4 AS role_rank, l_returnflag AS reason, 'Title ' || (l_partkey % 3) AS title FROM lines
 ), s AS (
     SELECT company, count(*) AS raw, count(DISTINCT cl) AS n, count(*) FILTER (role_rank < 2) AS raw_m, count(DISTINCT cl) FILTER (role_rank < 2) AS n_m,
            count(*) FILTER (managed) AS raw_a, count(DISTINCT cl) FILTER (managed) AS n_a, count(*) FILTER (managed AND role_rank < 2) AS raw_am, count(DISTINCT cl) FILTER (managed AND role_rank < 2) AS n_am,
@@ -87,7 +89,8 @@ SELECT s.company, n AS active_job_count, raw AS raw_active_job_count, raw - n AS
 FROM s LEFT JOIN r USING (company) LEFT JOIN m USING (company)
 """)
 def role_focus(spark, sf):
-    line, n = load(spark, sf, "lineitem"), F.col("l_linenumber")
+    n, values = F.col("l_linenumber"), ("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    line = load(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.min(c).alias(c) for c in values])
     pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k + 1).cast("int"))
     anchor = F.struct(F.lit("url").alias("kind"), F.concat(F.lit("u"), F.floor((n - 1) / 2)).alias("value"), F.lit(1).alias("priority"))
     jobs = line.select(

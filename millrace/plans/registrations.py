@@ -134,7 +134,7 @@ WITH RECURSIVE stored AS (
 ), req AS (
     SELECT o_orderkey AS no, 'b' || (o_custkey % 130) AS ext, CASE o_orderkey % 4 WHEN 0 THEN 'register' WHEN 1 THEN 'disable' ELSE 'reassign' END AS action,
            CASE WHEN o_orderkey % 4 = 0 THEN o_custkey % 130 % 50 + 1 WHEN o_orderkey % 23 = 2 THEN 9999 ELSE o_orderkey % 50 + 1 END AS company,
-           CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 130 % 50 + 1 ELSE (o_orderkey - 7) % 50 + 1 END AS expected,
+           CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 130 % 50 + 1 ELSE (o_orderkey + 43) % 50 + 1 END AS expected,
            CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 4 + 1 END AS expected_v, o_orderkey % 29 <> 0 AS reasoned FROM orders
 ), numbered AS (
     SELECT *, row_number() OVER (PARTITION BY ext ORDER BY no) AS k FROM req
@@ -170,7 +170,7 @@ def source_requests(spark, sf):
         F.lit(" Board ").alias("provider"),
         F.concat(F.lit("b"), c, F.lit(" ")).alias("external_id"),
         F.when(o % 4 == 0, c % 50 + 1).when(o % 23 == 2, F.lit(9999).cast("long")).otherwise(o % 50 + 1).alias("company_id"),
-        F.when(o % 3 == 0, c % 50 + 1).otherwise((o - 7) % 50 + 1).alias("expected_company_id"),
+        F.when(o % 3 == 0, c % 50 + 1).otherwise((o + 43) % 50 + 1).alias("expected_company_id"),
         F.when(o % 5 == 0, o % 4 + 1).alias("expected_version"),
         F.lit("board").alias("source_kind"),
         F.lit(None).cast("string").alias("source_url"),
@@ -198,7 +198,7 @@ WITH lease AS (
            CASE WHEN c % 37 = 0 THEN 'incomplete_source_evidence' WHEN asserted = 2 THEN 'ambiguous_company_identity' WHEN c % 17 = 0 THEN 'no_snapshot' WHEN status = 'disabled' THEN 'source_not_open'
                 WHEN c % 19 = 0 OR c % 23 = 0 OR coalesce(faulty, false) THEN CASE WHEN (c % 19 = 0 AND c % 2 = 0) OR c % 23 = 0 THEN 'incomplete_snapshot_for_now' ELSE 'incomplete_snapshot' END
                 WHEN known.id IS NULL AND asserted = 1 AND wanted = 999999 THEN 'unknown_company' WHEN known.id IS NULL AND asserted = 0 AND coalesce(names, 0) <> 1 THEN 'company_identity_required' ELSE 'promoted' END AS o
-    FROM lease LEFT JOIN per USING (c) LEFT JOIN known ON known.id = b
+    FROM lease LEFT JOIN per USING (c) LEFT JOIN known ON known.id = b AND c % 37 <> 0
 ), done AS (
     SELECT *, CASE WHEN o = 'promoted' AND c > min(c) FILTER (o = 'promoted') OVER (PARTITION BY board) THEN 'waits' ELSE o END AS outcome FROM judged
 ), made AS (
@@ -218,7 +218,7 @@ SELECT 'https://boards.example/' || lpad(CAST(c AS VARCHAR), 9, '0') AS normaliz
        CASE WHEN outcome IN ('promoted', 'company_identity_required', 'incomplete_snapshot', 'incomplete_snapshot_for_now') THEN done.n ELSE 0 END AS candidates,
        CASE WHEN outcome = 'promoted' THEN done.n ELSE 0 END AS promoted_candidates,
        CASE WHEN coalesce(source, made.id) IS NULL THEN 0 WHEN p.o IS NULL THEN coalesce(before.n, 0) ELSE p.n + coalesce(jobs.stay - jobs.again, 0) END AS active_jobs
-FROM done LEFT JOIN made USING (b) LEFT JOIN jobs USING (b) LEFT JOIN before USING (b) LEFT JOIN (SELECT b, o, n FROM done WHERE outcome = 'promoted') p USING (b)
+FROM done LEFT JOIN made ON made.b = done.b AND c % 37 <> 0 LEFT JOIN jobs ON jobs.b = done.b LEFT JOIN before ON before.b = done.b LEFT JOIN (SELECT b, o, n FROM done WHERE outcome = 'promoted') p ON p.b = done.b
 """)
 def promoted_boards(spark, sf):
     c, as_of = F.col("c_custkey"), "2024-02-01 00:00:00"
