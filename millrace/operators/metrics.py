@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import first_text
@@ -28,8 +28,8 @@ def provider_contribution(rows: DataFrame, queues: list[str]) -> DataFrame:
     provider = F.coalesce(first_text("provider"), F.lit("unknown"))
     by = rows.groupBy(provider.alias("provider")).pivot("queue", queues).agg(F.count(F.lit(1))).na.fill(0, queues)
     counted = by.withColumn("selected_row_count", sum((F.col(f"`{q}`") for q in queues), F.lit(0)))
-    total = counted.agg(F.sum("selected_row_count").alias("_total"))  # one row
-    return counted.crossJoin(F.broadcast(total)).withColumn("share_of_selected_rows", F.round(F.try_divide("selected_row_count", "_total"), 6)).drop("_total")
+    total = F.sum("selected_row_count").over(Window.partitionBy())  # over the providers, which are few
+    return counted.withColumn("_total", total).withColumn("share_of_selected_rows", F.round(F.try_divide("selected_row_count", "_total"), 6)).drop("_total")
 
 
 def link_metrics(checks: DataFrame, *by: str) -> DataFrame:

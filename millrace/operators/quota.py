@@ -27,7 +27,7 @@ def greedy(candidates: DataFrame, quotas: DataFrame, stratum: str, company: str,
     """
     best = F.row_number().over(Window.partitionBy(stratum, company).orderBy(*order))
     few = candidates.withColumn("_in_company", best).where(F.col("_in_company") <= most_per_company)
-    few = few.join(F.broadcast(quotas), stratum)  # a row a stratum
+    few = few.join(quotas, stratum)
     place = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
     # Companies that earlier strata filled can block at most total / cap companies, each with cap rows here.
     total = quotas.agg(F.sum("quota").alias("total"))

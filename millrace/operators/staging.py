@@ -44,15 +44,15 @@ def _release(work, flag, state, available, error):
 def claim(work: DataFrame, stage: str, limit: int, as_of: str, lease_seconds: int, owner: str, token: str) -> DataFrame:
     """The queue with the next ``limit`` items of a stage leased: by priority, then the longest available, then the URL. The limit is the feature: a batch of a worker."""
     if stage not in STAGES[:-1]:
-        raise ValueError(f"unsupported work stage: {stage}")
+        raise ValueError(f"nothing is claimed in stage {stage!r}")
     if limit < 1 or lease_seconds < 1 or not owner.strip():
-        raise ValueError("limit, lease_seconds and owner must be valid")
+        raise ValueError("a claim needs at least one item, one second and an owner's name")
     now = F.lit(as_of).cast("timestamp")
     work = expire(work, as_of)
     states = ("ready", "verified", "retry") if stage == "promote" else ("ready", "retry")
     due = work.where((F.col("stage") == stage) & F.col("state").isin(*states) & (F.col("available_at") <= now) & (F.col("attempt_count") < F.col("max_attempts")))
     chosen = due.orderBy(F.desc("priority"), "available_at", "normalized_url").limit(limit).select("normalized_url", F.lit(True).alias("_claimed"))
-    out = work.join(F.broadcast(chosen), "normalized_url", "left")  # at most ``limit`` rows
+    out = work.join(chosen, "normalized_url", "left")
     on = F.coalesce("_claimed", F.lit(False))
     return out.withColumns(
         {

@@ -42,11 +42,17 @@ def retry_after_seconds(spark, sf):
     return load(spark, sf, "events").select("event_id", times.retry_after(value, at).alias("wait_seconds"))
 
 
-@query(
-    "WITH t AS (SELECT doc_id, coalesce(lower(text), '') AS t FROM documents) SELECT doc_id, CASE "
-    + " ".join("WHEN " + " OR ".join(f"contains(t, '{w}')" for w in words) + f" THEN '{angle}'" for words, angle in evidence.ANGLES)
-    + f" ELSE '{evidence.OTHER_ANGLE}' END AS angle FROM t"
-)
+@query("""
+WITH t AS (SELECT doc_id, coalesce(lower(text), '') AS t FROM documents)
+SELECT doc_id, CASE WHEN t LIKE '%open source%' OR t LIKE '%developer tools%' OR t LIKE '%infrastructure%' THEN 'Build a repo PR, SDK/plugin, or runnable integration demo with docs and a Loom.'
+                    WHEN t LIKE '%security%' OR t LIKE '%compliance%' THEN 'Build an audit-trail workflow or security automation demo against a realistic sample app.'
+                    WHEN t LIKE '%customer support%' OR t LIKE '%customer success%' THEN 'Build an AI triage/insights demo from sample support tickets and show before/after workflow time.'
+                    WHEN t LIKE '%fintech%' OR t LIKE '%finance%' OR t LIKE '%payments%' THEN 'Build a reconciliation/risk dashboard with explainable flags and exportable audit evidence.'
+                    WHEN t LIKE '%healthcare%' THEN 'Build a HIPAA-conscious intake/ops workflow demo using synthetic patient/provider data.'
+                    WHEN t LIKE '%recruiting%' OR t LIKE '%human resources%' THEN 'Build a candidate/job matching or workflow automation prototype with transparent scoring.'
+                    WHEN t LIKE '%ai%' OR t LIKE '%agent%' THEN 'Build a focused AI agent demo that automates one painful user workflow end to end.'
+                    ELSE 'Build a narrow workflow prototype tied to their one-liner, with a 60-second Loom and repo.' END AS angle FROM t
+""")
 def prototype_angles(spark, sf):
     return load(spark, sf, "documents").select("doc_id", evidence.prototype_angle(F.lower("text")).alias("angle"))
 
