@@ -150,6 +150,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int = SHIN
                     found.append((id, pivot))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
+        pa.default_memory_pool().release_unused()  # the worker lives on beside later stages
 
     met = pairs.select("id", "pivot").join(texts.hint("merge"), "id").join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("other")).hint("merge"), "pivot")
     return met.select("id", "pivot", "text", "other").mapInArrow(each, "u long, v long")
