@@ -30,9 +30,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
+#: The tables that ``cut`` made, for those who know when they are done with.
+MADE: list[str] = []
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: its rows are fixed, its lineage is gone, and a lost executor costs a re-read."""
     path = f"{shared_dir(df.sparkSession)}/{name}"
+    MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
