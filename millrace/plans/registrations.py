@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 from millrace.functions import text, websites
 from millrace.operators import directory, promotion, registry, staging
 from millrace.sources.tables import load
-from millrace.sources.versions import Versions, shared_folder
+from millrace.sources.versions import Versions, cut, shared_folder
 from millrace.streaming import lifecycle
 
 from .registry import query
 
 #: The event table's days go through the stream in so many runs of one checkpoint, each of which may take several micro-batches.
 RESTARTS = 3
+#: Postings of all runs and sources for each bucket of a source, so that a group of the stream does not grow with the table.
+POSTINGS_A_BUCKET = 250_000
+#: The same for each partition of its state, whose fixed costs in each micro-batch should stay far below what its rows cost.
+POSTINGS_A_PARTITION = 500_000
 
 
 @query("""
@@ -42,13 +46,14 @@ def lifecycle_stream(spark, sf):
     day = F.datediff(F.to_date("ts"), F.lit(events.agg(F.min(F.to_date("ts"))).first()[0])) + 1
     own = events.select(F.col("event_type").alias("source_id"), day.cast("long").alias("run_no"), F.col("user_id").cast("string").alias("external_job_id"), "ts", "event_id", "props")
     own = own.groupBy("source_id", "run_no", "external_job_id").agg(F.sha2(F.max_by("props", F.struct("ts", "event_id")), 256).alias("content_hash")).withColumn("is_complete", F.lit(None).cast("boolean"))
-    last = own.agg(F.max("run_no")).first()[0] or 0
+    own = cut(own, "seen")
+    last, postings = own.agg(F.coalesce(F.max("run_no"), F.lit(0)), F.count(F.lit(1))).first()
     runs = own.select("source_id").distinct().withColumn("run_no", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(last).cast("long"))))
     runs = runs.select("source_id", "run_no", F.lit(None).cast("string").alias("external_job_id"), F.lit(None).cast("string").alias("content_hash"), (F.col("run_no") % 10 != 7).alias("is_complete"))
-    rows = own.unionByName(runs)
+    rows, buckets, partitions = own.unionByName(runs), max(4, postings // POSTINGS_A_BUCKET), max(8, postings // POSTINGS_A_PARTITION)
     for k in range(RESTARTS):
         lifecycle.append(rows.where(F.floor((F.col("run_no") - 1) * RESTARTS / last) == k), f"{folder}/rows", files=2)
-        lifecycle.run_once(spark, f"{folder}/rows", f"{folder}/changes", f"{folder}/checkpoint", buckets=4, files_a_batch=1)
+        lifecycle.run_once(spark, f"{folder}/rows", f"{folder}/changes", f"{folder}/checkpoint", buckets=buckets, files_a_batch=1, partitions=partitions)
     return lifecycle.run_counters(spark.read.schema(lifecycle.OUTPUT).parquet(f"{folder}/changes"))
 
 

@@ -334,3 +334,70 @@ def test_stream_holds_a_run_until_its_turn_and_refuses_late_rows(spark):
     assert {r.run_no: tuple(r)[2:] for r in lifecycle.run_counters(changes).collect()} == {1: (1, 0, 0, 0, 0, 0), 2: (1, 0, 0, 1, 0, 0), 3: (0, 0, 0, 0, 0, 0)}
     assert [(r.run_no, r.external_job_id) for r in changes.where("kind = 'late'").collect()] == [(1, "z")]
     assert sorted((r.external_job_id, r.misses, r.status) for r in lifecycle.current_jobs(changes).collect()) == [("x", 0, "active"), ("y", 1, "active")]
+
+
+class Calls:
+    """A state of its own in memory, which counts the calls that reach it."""
+
+    def __init__(self):
+        self.value, self.rows, self.n = None, {}, 0
+
+    def getValueState(self, *_):
+        return Calls.__new__(Calls)._like(self)
+
+    getMapState = getValueState
+
+    def _like(self, parent):
+        self.value, self.rows, self.parent = None, {}, parent
+        return self
+
+    def _called(self):
+        self.parent.n += 1
+
+    def get(self):
+        self._called()
+        return self.value
+
+    def update(self, value):
+        self._called()
+        self.value = value
+
+    def getValue(self, key):
+        self._called()
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):
+        self._called()
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        self._called()
+        del self.rows[key]
+
+    def iterator(self):
+        self._called()
+        return iter(list(self.rows.items()))
+
+    def keys(self):
+        self._called()
+        return iter(list(self.rows))
+
+
+def test_stream_calls_its_state_by_parts_not_by_postings():
+    """Runs whose postings wait for them: what a micro-batch calls does not grow with its postings."""
+    import pandas as pd
+
+    counts, made = [], []
+    for n in (3000, 12000):
+        handle, process = Calls(), lifecycle.Lifecycle()
+        process.init(handle)
+        columns = [c.split()[0] for c in lifecycle.INPUT.split(", ")]
+        for run in (1, 2):
+            seen = pd.DataFrame([("a", run, f"j{k}", f"h{k % run}", None) for k in range(n)], columns=columns)
+            assert list(process.handleInputRows(("a", 0), iter([seen]), None)) == []
+            own = pd.DataFrame([("a", run, None, None, True)], columns=columns)
+            found = pd.concat(process.handleInputRows(("a", 0), iter([own]), None))
+        made.append(tuple(found[found.kind == "run"][list(lifecycle.COUNTERS)].iloc[0]))
+        counts.append(handle.n)
+    assert made == [(0, 1500, 1500, 0, 0, 0), (0, 6000, 6000, 0, 0, 0)]
+    assert counts[0] == counts[1] < 6 * lifecycle.PARTS
