@@ -124,6 +124,37 @@ def clusters(rows: DataFrame, company: str, order: str, source: str, external_id
     return rows.join(joined, [company, order])
 
 
+def _anchor(anchors: str, field: str):
+    return F.try_element_at(F.col(anchors), F.lit(1))[field]
+
+
+def plain_key(source: str, external_id: str, anchors: str) -> list:
+    """What the rows of a cluster agree in, in companies that ``unplain`` does not give: their anchor, or else the row's source and external id."""
+    bare = F.coalesce(F.size(anchors), F.lit(0)) <= 0
+    own = [F.when(bare, F.col(c)).alias(f"_bare_{k}") for k, c in enumerate((source, external_id))]
+    return [_anchor(anchors, "kind").alias("_kind"), _anchor(anchors, "value").alias("_value"), *own]
+
+
+def unplain(rows: DataFrame, company: str, source: str, external_id: str, anchors: str) -> DataFrame:
+    """The companies where complete linkage is more than a grouping, whatever part of their rows is taken. In the others each row has a source, an external id and at most one anchor; rows that agree in
+    source and external id have the same anchor; and rows that share an anchor have the same priority and only one external id in each source. There every two rows of an anchor match, and no others do.
+
+    Values are compared by 64-bit hashes inside these groups.
+    """
+    at = {f: _anchor(anchors, f) for f in ("kind", "value", "priority")}
+    size = F.greatest(F.coalesce(F.size(anchors), F.lit(0)), F.lit(0))
+    empty = F.col(source).isNull() | F.col(external_id).isNull() | (size > 1) | ((size == 1) & (at["kind"].isNull() | at["value"].isNull() | at["priority"].isNull()))
+    rows = rows.where(F.col(company).isNotNull()).select(
+        F.col(company), F.col(source).cast("string").alias("_source"), F.col(external_id).cast("string").alias("_external"), *[c.alias(f"_{f}") for f, c in at.items()], empty.alias("_empty")
+    )
+    hashed = F.xxhash64("_kind", "_value", "_priority")
+    nodes = rows.groupBy(company, "_source", "_external").agg(F.min(hashed).alias("_low"), F.max(hashed).alias("_high"), F.max("_empty").alias("_empty"))
+    other = F.xxhash64("_external")
+    shared = rows.where("_kind IS NOT NULL").groupBy(company, "_kind", "_value", "_source").agg(F.min(other).alias("_low"), F.max(other).alias("_high"), F.min("_priority").alias("_least"), F.max("_priority").alias("_most"))
+    shared = shared.groupBy(company, "_kind", "_value").agg(F.max(F.col("_low") != F.col("_high")).alias("_differ"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    return nodes.where("_low <> _high OR _empty").select(company).union(shared.where("_differ OR _least <> _most").select(company)).distinct()
+
+
 def representative(variants: DataFrame, cluster: str, managed: str, rank: str, ties: list[str]) -> DataFrame:
     """One row of each cluster: a managed one first, then by rank, then by ``ties``. One aggregation, combined before the shuffle."""
     first = F.struct(F.when(F.col(managed), 0).otherwise(1), rank, *ties)

@@ -90,7 +90,8 @@ FROM s LEFT JOIN r USING (company) LEFT JOIN m USING (company)
 """)
 def role_focus(spark, sf):
     n, values = F.col("l_linenumber"), ("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    line = load(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.min(c).alias(c) for c in values])
+    # An order has few lines. Dealt by order once, they are grouped by line, company, cluster and title where they lie.
+    line = load(spark, sf, "lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(*[F.min(c).alias(c) for c in values])
     pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k + 1).cast("int"))
     anchor = F.struct(F.lit("url").alias("kind"), F.concat(F.lit("u"), F.floor((n - 1) / 2)).alias("value"), F.lit(1).alias("priority"))
     jobs = line.select(
