@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,11 +52,10 @@ def company_website(name: Column, website: Column) -> Column:
     full = F.when(own.rlike(DOMAIN), F.concat(F.lit("https://"), own)).when(F.regexp_count(own, F.lit("(?i)https?://")) == 1, own)
     host, port = website_host(full), _authority(full, 2)
     plain_root = F.regexp_extract(full, _PARTS, 2).isin("", "/") & F.regexp_extract(full, _PARTS, 3).isin("", "?") & F.regexp_extract(full, _PARTS, 4).isin("", "#")
-    shared, branded = F.lit(False), F.lit(False)
-    for candidate, brand in SHARED_HOSTS.items():
-        shared = shared | (host == candidate) | F.endswith(host, F.lit(f".{candidate}"))
-        if brand:
-            branded = branded | ((host == candidate) & (text.normalize_company_name(name) == brand))
+    # One pattern and one lookup for all hosts: what an expression is made of is worked out again wherever it stands.
+    shared = host.rlike(r"(^|\.)(" + "|".join(map(re.escape, SHARED_HOSTS)) + r")\z")
+    brands = F.create_map(*[F.lit(x) for pair in SHARED_HOSTS.items() if pair[1] for x in pair])
+    branded = text.normalize_company_name(name) == F.try_element_at(brands, host)
     good = ~own.rlike(r"(?U)\s") & host.rlike(DOMAIN) & ((port == "") | F.coalesce(port.try_cast("int").between(1, 65535), F.lit(False)))
     return F.when(good & (~shared | (F.coalesce(branded, F.lit(False)) & plain_root)), full)
 
@@ -70,7 +71,6 @@ def name_fits_domain(name: Column, domain: Column) -> Column:
     words = F.regexp_extract_all(text.normalize_company_name(name), F.lit("[a-z0-9]+"), 0)
     words = F.when((F.size(words) > 1) & F.element_at(words, -1).isin(*COMPANY_FORMS), F.slice(words, F.lit(1), F.size(words) - 1)).otherwise(words)
     plain, label = F.array_join(words, ""), F.lower(F.regexp_extract(domain, r"^[^.]*", 0))
-    fits = label == plain
-    for prefix in DOMAIN_PREFIXES:
-        fits = fits | (label == F.concat(F.lit(prefix), plain))
+    before = F.substring(label, F.lit(1), F.length(label) - F.length(plain))
+    fits = F.endswith(label, plain) & before.isin("", *DOMAIN_PREFIXES)
     return F.coalesce((plain != "") & (label != "") & fits, F.lit(False))

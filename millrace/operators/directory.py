@@ -36,7 +36,8 @@ def claims(batch: DataFrame) -> DataFrame:
     """The batch with claimed_website and claimed_domain (safe evidence), and website and domain: what is left of them after claims of one domain by several rows."""
     rows = batch.withColumn("claimed_website", websites.company_website(F.col("name"), F.col("website")))
     rows = rows.withColumn("claimed_domain", websites.website_domain(F.col("claimed_website")))
-    rows = rows.withColumn("_fits", websites.name_fits_domain(F.col("name"), F.col("claimed_domain")))
+    # Written, since both sides of the join below would work out all patterns.
+    rows = cut(rows.withColumn("_fits", websites.name_fits_domain(F.col("name"), F.col("claimed_domain"))), "claimed")
     counts = rows.where("claimed_domain IS NOT NULL").groupBy("claimed_domain").agg(F.count(F.lit(1)).alias("_claims"), F.count_if("_fits").alias("_fitting"))
     kept = (F.col("_claims") == 1) | ((F.col("_fitting") == 1) & F.col("_fits"))
     rows = rows.join(counts, "claimed_domain", "left")
