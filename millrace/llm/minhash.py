@@ -12,6 +12,7 @@
 The pairs of a key are not made by a join. Of each key's nodes that with the most and that with the least company are its pivots, and first only these meet the others, and only nodes that have
 another label:
 
+0. Where a caller has keys of fingerprints (``near_copies``), each node goes to the fullest key of each fingerprint, and the key's pivots meet the nodes whose fingerprints are near enough.
 1. The pivots of ``FIRST`` bands meet the nodes of their keys. That settles most families of near copies: links are joined up, and a node gets its component as label.
 2. In all bands, in keys whose nodes have several labels, whole labels meet by their heaviest nodes, as long as that links any.
 3. In the keys that are still open all nodes meet that have different labels, on their full sets: in pairs of blocks of bounded size, where a node's intersections with all
@@ -189,13 +190,27 @@ class Rounds:
         met = met.join(head.withColumnRenamed("label", "high"), "high").where(_apart("sketch", "pivot_sketch") <= differing(self.percent))
         return self._test(met)
 
-    def meet(self, keyed: DataFrame) -> None:
-        """Let the pivots of each key meet the key's other nodes. ``keyed``: key, id, label, weight, sketch, written."""
-        node = [F.negate("id").alias("minus_id"), "label", "sketch"]
+    def pivots_meet(self, keyed: DataFrame, sketches: DataFrame, bits: int | None = None) -> DataFrame:
+        """Let the pivots of each key meet the key's other nodes. ``keyed``: id, key, and, with ``bits``, the fingerprint fp that the key is of. Gives id, weight, sketch."""
+        several = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("key", "n")
+        keyed = cut(keyed.join(cut(several, "several"), "key"), "shared")
+        if bits is not None:  # a node goes to the fullest key of each of its fingerprints, or a pair would meet in very many
+            keyed = cut(keyed.groupBy("id", "fp").agg(F.max(F.struct("n", "key")).alias("k")).select("id", "fp", "k.n", "k.key"), "fullest")
+        weights = cut(keyed.groupBy("id").agg(F.sum("n").alias("weight")).join(sketches, "id"), "weights")
+        self.meet(cut(self.labelled(keyed.drop("n").join(weights, "id")), "keyed"), bits)
+        return weights
+
+    def meet(self, keyed: DataFrame, bits: int | None = None) -> None:
+        """The same for ``keyed`` (key, id, label, weight, sketch and, with ``bits``, fp), written. Only fingerprints that differ in so many bits at most meet."""
+        own = ["label", "sketch"] if bits is None else ["label", "sketch", "fp"]
+        node = [F.negate("id").alias("minus_id"), *own]
         ends = keyed.groupBy("key").agg(F.max(F.struct("weight", *node)).alias("most"), F.max(F.struct(F.negate("weight").alias("weight"), *node)).alias("least"))
-        heads = ends.select("key", F.explode(F.array_distinct(F.array(*[F.struct(f"{e}.minus_id", f"{e}.label", f"{e}.sketch") for e in ("most", "least")]))).alias("head"))
-        heads = cut(heads.select("key", F.negate("head.minus_id").alias("pivot"), F.col("head.label").alias("pivot_label"), F.col("head.sketch").alias("pivot_sketch")), "heads")
-        self._test(keyed.join(heads, "key").where((F.col("label") != F.col("pivot_label")) & (_apart("sketch", "pivot_sketch") <= differing(self.percent))))
+        heads = ends.select("key", F.explode(F.array_distinct(F.array(*[F.struct(f"{e}.minus_id", *[f"{e}.{c}" for c in own]) for e in ("most", "least")]))).alias("head"))
+        heads = cut(heads.select("key", F.negate("head.minus_id").alias("pivot"), *[F.col(f"head.{c}").alias(f"pivot_{c}") for c in own]), "heads")
+        near = (F.col("label") != F.col("pivot_label")) & (_apart("sketch", "pivot_sketch") <= differing(self.percent))
+        if bits is not None:
+            near &= F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot_fp"))) <= bits
+        self._test(keyed.join(heads, "key").where(near))
 
     def all_meet(self, keyed: DataFrame) -> None:
         """Let all nodes of each key meet that have different labels: in pairs of blocks, on their full sets. ``keyed``: key, n (its nodes), id, label, written."""
@@ -295,15 +310,17 @@ def _links(rows: list[tuple], alone: bool, percent: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def groups(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, size: int = SHINGLE) -> DataFrame | None:
-    """node, label: the components of linked nodes; None where nothing is linked. ``nodes``: id, sketch, keys (any number), written."""
+def groups(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, size: int = SHINGLE, prints: DataFrame | None = None, bits: int | None = None) -> DataFrame | None:
+    """node, label: the components of linked nodes; None where nothing is linked. ``nodes``: id, sketch, keys (any number), written.
+
+    ``prints``: id, key, fp (the fingerprint that the key is of), for a first round of pivots whose fingerprints differ in ``bits`` at most. It may leave out keys and nodes; what shares one of the
+    nodes' keys is met in any case.
+    """
     rounds = Rounds(fetch, percent, size)
     sketches = nodes.select("id", "sketch")
-    keyed = nodes.select("id", F.explode(F.slice("keys", 1, FIRST)).alias("key"))
-    several = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("key", "n")
-    keyed = cut(keyed.join(cut(several, "several"), "key"), "shared")
-    weights = cut(keyed.groupBy("id").agg(F.sum("n").alias("weight")).join(sketches, "id"), "weights")
-    rounds.meet(cut(rounds.labelled(keyed.select("key", "id").join(weights, "id")), "keyed"))
+    if prints is not None:
+        rounds.pivots_meet(prints, sketches, bits)
+    weights = rounds.pivots_meet(nodes.select("id", F.explode(F.slice("keys", 1, FIRST)).alias("key")), sketches)
 
     described = cut(nodes.join(weights.select("id", "weight"), "id", "left").fillna(0, "weight"), "described")
     while rounds.heads_meet(described):

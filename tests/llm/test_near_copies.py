@@ -6,7 +6,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from millrace.llm import near_copies
+from millrace.llm import minhash, near_copies
+from millrace.llm.common import cut
 
 
 def slow_shingles(text, size=5):
@@ -115,3 +116,34 @@ def test_edge_cases(spark):
     assert got.columns == docs.columns
     assert sorted(((r.doc_id, r._row, r.id) for r in got.collect()), key=str) == sorted([(2, 1, 2), (9, 1, 2), (4, 1, 2), (3, 1, 2), (None, 1, 2)], key=str)
     assert near_copies.keep(docs.limit(0)).collect() == []
+
+
+def test_first_round_takes_golay_keys_by_distance(spark):
+    """Nodes that share no other key: what meets in a key of a fingerprint is linked if it is similar and its fingerprints are near."""
+    rng = random.Random(6)
+    base = prose(rng, 300)
+    texts = [" ".join(edited(rng, base, 2)) for _ in range(4)] + [" ".join(prose(rng, 300))]
+    sketches = minhash.describe([t.encode() for t in texts])[2].to_pylist()
+    nodes = spark.createDataFrame([(k, s, [k]) for k, s in enumerate(sketches)], "id long, sketch array<long>, keys array<long>")
+    body = spark.createDataFrame([(k, t.encode()) for k, t in enumerate(texts)], "id long, text binary")
+    near, far = (1 << near_copies.BITS) - 1, (1 << near_copies.BITS + 1) - 1
+    prints = spark.createDataFrame([(0, 7, 0), (1, 7, near), (2, 8, 0), (3, 8, far), (0, 9, 5), (4, 9, 5)], "id long, key long, fp long")
+    found = minhash.groups(cut(nodes, "nodes"), lambda ids: body.join(ids, "id", "left_semi"), near_copies.PERCENT, prints=prints, bits=near_copies.BITS)
+    assert sorted(map(tuple, found.collect())) == [(0, 0), (1, 0)]
+
+
+def test_each_golay_key_has_its_fingerprint(spark):
+    rng = random.Random(7)
+    fps = np.array([[rng.getrandbits(64), rng.getrandbits(64)] for _ in range(20)], np.uint64)
+    keys, owners = near_copies.keys_of(fps)
+    rows = [(k, [1] * minhash.BANDS + keys[owners == k].tolist(), fps[k].view(np.int64).tolist()) for k in range(len(fps))]
+    got = near_copies.prints(spark.createDataFrame(rows, "id long, keys array<long>, fps array<long>")).collect()
+    want = {(k, int(key), int(fps[k, t].view(np.int64))) for t in (0, 1) for k in range(len(fps)) for key in near_copies.keys_of(fps[k : k + 1])[0].tolist() if (key >> 34) // 3 == t}
+    assert len(got) == len(keys) and {(r.id, r.key, r.fp) for r in got} == want
+
+
+def test_what_is_too_far_in_the_first_round_is_met_later(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "BITS", -1)
+    rows, _ = planted(3)
+    stay = {r.doc_id for r in near_copies.keep(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert stay == {min(g) for g in slow_groups(rows)}
