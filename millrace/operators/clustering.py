@@ -8,7 +8,7 @@ Rows of one source match by their external id only (priority 0); anchors count a
 1. Rows that agree in source, external id and anchors are one node, since they match the same rows and each other.
 2. Nodes that share an anchor with a node of another source, or the external id of their source, are of one connected component, found by Spark from (node, anchor) edges. Nothing merges across components.
 3. Each component is merged by itself, as a stream of components in every task. It holds its nodes and anchors, not its pairs. A cluster has at most one external id of each source, so
-   of the very many nodes that may share an anchor those whose cluster already has a source of the other's are passed over by arrays of bits.
+   of the very many nodes that may share an anchor those whose cluster already has a source of the other's are passed over by arrays of bits. Two clusters are compared once: what did not match never will.
 """
 
 from __future__ import annotations
@@ -80,6 +80,7 @@ def merged(nodes: list[dict]) -> list[int]:
     has = np.zeros((n, -(-len(sources) // 64)), np.uint64)  # the sources of each cluster, as bits in the row of its first node
     has[np.arange(n), source // 64] = np.uint64(1) << (source % 64).astype(np.uint64)
     members = [[k] for k in range(n)]
+    refused: dict[int, set[int]] = {}  # clusters with a pair across them that does not match: so it stays, however they grow
 
     def join(a: int, b: int) -> None:
         a, b = min(a, b), max(a, b)
@@ -87,6 +88,13 @@ def merged(nodes: list[dict]) -> list[int]:
         members[a] += members[b]
         members[b] = []
         has[a] |= has[b]
+        for c in refused.pop(b, ()):
+            refused[c].discard(b)
+            refuse(a, c)
+
+    def refuse(a: int, b: int) -> None:
+        refused.setdefault(a, set()).add(b)
+        refused.setdefault(b, set()).add(a)
 
     first: dict[tuple, int] = {}
     for k, r in enumerate(nodes):
@@ -98,17 +106,22 @@ def merged(nodes: list[dict]) -> list[int]:
             mine = [places[a] for a in anchors[i] if a in places]
             mine = [p[np.searchsorted(p, i, "right") :] for p in mine]
             left = np.unique(np.concatenate(mine)) if len(mine) > 1 else mine[0] if mine else ()
-            while len(left):
-                if len(left) > MANY:
-                    left = left[(of[left] != of[i]) & ~(has[of[left]] & has[of[i]]).any(axis=1)]
-                for at, j in enumerate(left):
-                    a, b = of[i], of[j]
-                    if a != b and not (has[a] & has[b]).any() and all(anchors[x] & anchors[y] for x in members[a] for y in members[b]):
-                        join(a, b)
-                        break
+            if not len(left):
+                continue
+            # The clusters of what is left, in the order of their first rows there; only that of i changes meanwhile.
+            others, at = np.unique(of[left], return_index=True)
+            others = others[np.argsort(at)]
+            if len(others) > MANY:
+                others = others[~(has[others] & has[of[i]]).any(axis=1)]
+            a = int(of[i])
+            for b in others.tolist():
+                if a == b or b in refused.get(a, ()) or (has[a] & has[b]).any():
+                    continue
+                if all(anchors[x] & anchors[y] for x in members[a] for y in members[b]):
+                    join(a, b)
+                    a = min(a, b)
                 else:
-                    break
-                left = left[at + 1 :]
+                    refuse(a, b)
     return of.tolist()
 
 

@@ -408,3 +408,15 @@ def test_write_queue(spark, tmp_path):
     got = spark.read.option("header", True).option("escape", '"').csv(paths["csv"]).first()
     assert tuple(got) == ("1", "a; b", '[{"x":"k","y":1}]')
     assert spark.read.json(paths["json"]).first().skills == ["a", "b"]
+
+
+def test_two_clusters_are_compared_once(monkeypatch):
+    """Nodes of six sources with five external ids each, whose clusters share anchors over and over but do not match."""
+    nodes = [
+        {"_id": k, "_source": f"s{k % 6}", "_external": str(k % 5), "_anchors": [{"kind": "name", "value": str(k * 7 % 41), "priority": 1}, {"kind": "shape", "value": f"{k * 7 % 41 % 8}|{k % 5}", "priority": 2}]}
+        for k in range(1200)
+    ]
+    calls = []
+    monkeypatch.setattr(clustering, "all", lambda pairs: calls.append(1) or all(pairs), raising=False)
+    assert len(set(clustering.merged(nodes))) == 30
+    assert 0 < len(calls) <= 30 * 29 // 2
